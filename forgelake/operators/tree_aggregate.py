@@ -54,8 +54,7 @@ def tree_aggregate(df: DataFrame, keys: Sequence[str], states: Mapping[str, tupl
 def heavy_keys(counts: DataFrame, keys: Sequence[str], count: str, share: float) -> DataFrame:
     """The rows of counts (one per key) whose count is at least `share` of the sum of all.
 
-    At most 1 / share keys pass, so the total is joined to the counts, not the
-    other way round; it is a single row.
+    The total is a scalar of the counts, which are one row per key.
     """
-    total = counts.agg(F.sum(count).alias("__total"))
-    return counts.join(F.broadcast(total), F.col(count) >= F.lit(share) * F.col("__total")).drop("__total")
+    total = counts.agg(F.sum(count).alias("total")).scalar()
+    return counts.where(F.col(count) >= F.lit(share) * total)
