@@ -272,6 +272,17 @@ def page_paths(stats: DataFrame, max_paths: int = 100_000) -> set[str]:
     return {p for p in order if by[p] < limit}
 
 
+def without(text: str, page: list[tuple[int, int, str]]) -> str:
+    """The text without the given nodes and what parted them from the rest; unchanged if there are none."""
+    if not page:
+        return text
+    kept, at = [], 0
+    for start, end, _ in [*page, (len(text), len(text), "")]:
+        kept.append(text[at:start].strip(" \t\r\n·|›—-"))
+        at = end
+    return "\n".join(x for x in kept if x)
+
+
 def holds_page_text(column: Column, title: Column, paths: set[str]) -> Column:
     """boolean: whether a text has a node on one of the paths; false for null and empty texts."""
     @F.pandas_udf("boolean")
@@ -297,11 +308,7 @@ def main_text(column: Column, title: Column, paths: set[str]) -> Column:
                 return t
             if nodes[0][0].startswith("tags/"):
                 return "\n".join(x.strip() for p, x, _ in nodes if p not in paths)
-            kept, at = [], 0
-            for start, end, path in [*grammars[k].parts(t), (len(t), len(t), "")]:
-                kept.append(t[at:start].strip(" \t\r\n·|›—-"))
-                at = end
-            return "\n".join(x for x in kept if x)
+            return without(t, grammars[k].parts(t))
 
         for texts, titles in batches:
             yield pd.Series([clean(t, k) for t, k in zip(texts, titles)], dtype=object)
