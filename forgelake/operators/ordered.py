@@ -81,6 +81,6 @@ def top_rows(df: DataFrame, key: Sequence[str], n, order: Sequence, groups: int
     groups * n of them meet in the second ranking.
     """
     limit = F.lit(n) if isinstance(n, int) else n
-    df = df.withColumn("__group", F.pmod(F.xxhash64(*order), F.lit(groups)))
+    df = df.withColumn("__group", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(groups)))
     cut = df.withColumn("__r", F.row_number().over(Window.partitionBy(*key, "__group").orderBy(*order))).where(F.col("__r") <= limit)
     return cut.withColumn(out, F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where(F.col(out) <= limit).drop("__group", "__r")
