@@ -24,6 +24,10 @@ COLUMNS = "array<struct<path:string,entry_def:int,reps:array<int>,defs:array<int
 _ARROW = pa.list_(pa.struct([("path", pa.string()), ("entry_def", pa.int32()), ("reps", pa.list_(pa.int32())), ("defs", pa.list_(pa.int32())), ("vals", pa.list_(pa.string()))]))
 
 
+#: Definition level from which on a value is kept as its JSON text.
+DEEPEST = 200
+
+
 class _Node:
     """A path of one record: keys below it, items below it, and its own column."""
 
@@ -37,7 +41,9 @@ class _Node:
         self.leaf = False
 
     def learn(self, value, wanted: Callable[[str], bool]) -> None:
-        if isinstance(value, dict):
+        if self.definition >= DEEPEST:
+            self.leaf = True
+        elif isinstance(value, dict):
             for k, x in value.items():
                 path = f"{self.path}.{k}" if self.path else k
                 if (node := self.keys.get(k)) is None:
@@ -73,7 +79,8 @@ class _Node:
     def put(self, value, r: int) -> None:
         d = self.definition
         if self.column:
-            scalar = value if isinstance(value, str) else None if isinstance(value, (dict, list)) or value is None else json.dumps(value)
+            whole = self.definition >= DEEPEST or not isinstance(value, (dict, list))
+            scalar = value if isinstance(value, str) or value is None else json.dumps(value) if whole else None
             self.column[0].append(r), self.column[1].append(d if value is not None else d - 1), self.column[2].append(scalar)
         is_dict, is_list = isinstance(value, dict), isinstance(value, list)
         for k, node in self.keys.items():
@@ -109,7 +116,9 @@ def shred(df: DataFrame, keep: Sequence[str], raw: str, only: str | None = None)
     only: a regular expression; paths that don't match it (from their start)
     are pruned before anything is built of them. Rows with null, blank or
     broken text, and JSON that is no object, are left out. Empty objects have
-    an empty list of columns.
+    an empty list of columns. What lies deeper than DEEPEST levels stays JSON
+    text; text nested too deeply to be parsed counts as broken. Names in keep
+    must differ from `columns`.
     """
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keep).schema) + f", columns {COLUMNS}"
 
@@ -150,9 +159,11 @@ def rebuild(shredded: DataFrame, keep: Sequence[str], tables: dict[str, str], fi
     end) must match as a whole. One row per item that isn't null: its
     positions from the outermost array, `item` (its value if it is a scalar)
     and one column per field: the first of the leaves named for it that the
-    item has.
+    item has. Columns of keep or fields called kind, pos or item are refused.
     """
     fields = fields or {}
+    if {"kind", "pos", "item"} & {*keep, *fields}:
+        raise ValueError("kind, pos and item are names of the result")
     extra = "".join(f", `{f}` string" for f in fields)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in shredded.select(*keep).schema) + f", kind string, pos array<bigint>, item string{extra}"
 

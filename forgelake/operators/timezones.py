@@ -76,8 +76,9 @@ def to_instants(df: DataFrame, value: str, source: str, zones: DataFrame) -> Dat
     of the source, from zones: source, zone, basis), `ambiguous` (shown twice
     or never by that clock), `no_zone` (nothing known of the source) or
     `unreadable` (null, blank, relative, impossible). utc_us is null for the
-    last three. Rows are kept as they are, repeated ones too; clashing column
-    names are left alone, as only names starting with `__` are used within.
+    last three. Rows are kept as they are, repeated ones too. Columns of df that
+    are called utc_us or status are replaced; all others are left alone, as
+    only names starting with `__` are used within.
     """
     z = zones.select(F.col("source").alias("__zs"), F.col("zone").alias("__zone"), F.col("basis").alias("__basis"))
     df = with_read_time(df, value, "__t").join(z, F.col(source) == F.col("__zs"), "left")

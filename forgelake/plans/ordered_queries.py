@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -9,7 +11,9 @@ from forgelake.functions import text as X
 from forgelake.operators import ordered as O
 from forgelake.operators import relational as R
 from forgelake.operators import state as S
+from forgelake.session import shared_folder
 from forgelake.sources.tables import table
+from forgelake.streaming.resume import new_files, once_per_key, run_available
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -190,3 +194,13 @@ def refinement_loop(spark, d):
         return O.top_rows(now.unionByName(more), ["repo_url"], 40, [F.desc("number")]).drop("rank")
 
     return S.refine(have, enough, step)
+
+
+@query("select user_id, event_type, count(distinct event_id) n from events group by all")
+def stream_resume(spark, d):
+    """The events table read as a stream in two runs of one checkpoint: what is there, and nothing again."""
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    schema = table(spark, d, "events").schema
+    for _ in range(2):
+        run_available(once_per_key(new_files(spark, f"{d}/events.parquet", schema).select("event_id", "user_id", "event_type"), ["event_id"]), f"{folder}/out", f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/out").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
