@@ -85,7 +85,7 @@ def classified(docs: DataFrame, text: str, source: str) -> DataFrame:
     """docs with residue: `placeholder`, `form`, `filler`, `error_page`, `script_notice`, `recurring`, or null for content.
 
     Null, empty and blank texts are null (they hold no residue). Repeated rows
-    keep their place. Whole texts are looked at whatever their length. Two
+    keep their place; a column called residue is replaced. Whole texts are looked at whatever their length. Two
     passes: counting masked hashes (one row per distinct masked text is
     shuffled, combined before), and the rules; the hashes that recur widely
     and carry a loose cue are few, and their join shuffles no texts if their
