@@ -200,7 +200,7 @@ def refinement_loop(spark, d):
 def stream_resume(spark, d):
     """The events table read as a stream in two runs of one checkpoint: what is there, and nothing again."""
     folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
-    schema = table(spark, d, "events").schema
+    schema = table(spark, d, "events").schema  # the pattern below also fits where the table is a single file
     for _ in range(2):
-        run_available(once_per_key(new_files(spark, f"{d}/events.parquet", schema).select("event_id", "user_id", "event_type"), ["event_id"]), f"{folder}/out", f"{folder}/checkpoint")
+        run_available(once_per_key(new_files(spark, f"{d}/events.parque[t]", schema).select("event_id", "user_id", "event_type"), ["event_id"]), f"{folder}/out", f"{folder}/checkpoint")
     return spark.read.parquet(f"{folder}/out").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
