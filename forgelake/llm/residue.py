@@ -103,7 +103,7 @@ def classified(docs: DataFrame, text: str, source: str) -> DataFrame:
     units = F.filter(F.split("__t", r"[\r\n]+|(?<=[.!?…])\s+(?=[\p{Lu}\d–—])"), lambda x: F.length(F.trim(x)) > 0)
     words = F.filter(F.split(F.lower("__t"), r"[^\p{L}]+"), lambda x: x != "")
     latin = F.array(*[F.lit(w) for w in LATIN])
-    out = out.withColumns({"__bare": bare, "__l": F.when(F.col("__t").contains("\n-"), F.filter(F.split(F.regexp_replace(setext, r"<!--[\s\S]*?-->", "\n§form§\n"), r"\r?\n|\r"), lambda x: ~x.rlike(r"^\s*$"))).otherwise(lines), "__u": F.transform(units, lambda x: F.trim(F.regexp_replace(x, r"\s*[–—|·]\s*(?:Codeharbor|Forge)$", ""))), "__words": words})
+    out = out.withColumns({"__bare": bare, "__l": F.when(F.col("__t").contains("\n-"), F.filter(F.split(F.regexp_replace(setext, r"<!--[\s\S]*?-->", "\n§form§\n"), r"\r?\n|\r"), lambda x: ~x.rlike(r"^\s*$"))).otherwise(lines), "__u": F.transform(units, lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, r"\s+", " "), r"\s*[–—|·]\s*(?:Codeharbor|Forge)$", ""))), "__words": words})
     n, distinct = F.size("__words"), F.size(F.array_distinct("__words"))
     filler = F.col("__t").rlike(FILLER_TEXT) | ((n >= 6) & (distinct <= 6) & (n >= 2 * distinct)) | ((n >= 5) & (F.size(F.filter("__words", lambda w: F.array_contains(latin, w))) >= 0.8 * n))
     message = F.forall("__u", lambda x: (x == "") | x.rlike(_bare(MESSAGE_UNIT))) & F.exists("__u", lambda x: x.rlike(_bare(CORE_UNIT)))
