@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forgelake.operators.lookup import held
+
 #: A masked text recurs widely from so many texts on, in so many sources.
 WIDE_TEXTS, WIDE_SOURCES = 5, 2
 
@@ -86,26 +88,29 @@ def classified(docs: DataFrame, text: str, source: str) -> DataFrame:
 
     Null, empty and blank texts are null (they hold no residue). Repeated rows
     keep their place; a column called residue is replaced. Whole texts are looked at whatever their length. Two
-    passes: counting masked hashes (one row per distinct masked text is
-    shuffled, combined before), and the rules; the hashes that recur widely
-    and carry a loose cue are few, and their join shuffles no texts if their
-    count allows a broadcast (Spark sees the size at run time).
+    passes: counting the masked hashes of texts with a loose cue (one row per
+    distinct masked text is shuffled, combined before), and the rules. Hashes
+    that recur widely are broadcast if a count proves them few; only then
+    no text is shuffled.
     """
     t = F.regexp_replace(F.regexp_replace(plain(F.col(text)), "[\\u200b\\ufeff]", ""), r"^\s+|\s+$", "")
-    out = docs.withColumn("__t", t).withColumn("__m", F.xxhash64(masked(F.col("__t"))))
-    loose = out.where(F.col("__t").rlike(_bare(LOOSE))).groupBy("__m").agg(F.count(F.lit(1)).alias("__n"), F.min(source).alias("__a"), F.max(source).alias("__b"))
-    wide = loose.where((F.col("__n") >= WIDE_TEXTS) & (F.col("__a") != F.col("__b"))).select(F.col("__m").alias("__w"))
-    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace("__t", r"```[\s\S]*?(?:```|$)", " § "), r"`[^`\n]*`", " § "), r"\"[^\"\n]*\"", " § ")
-    lines = F.filter(F.split(F.regexp_replace("__t", r"<!--[\s\S]*?-->", "\n§form§\n"), r"\r?\n|\r"), lambda x: ~x.rlike(r"^\s*$"))
-    heads = lambda x: x.rlike(HEADING_LINE)
-    form = F.forall("__l", lambda x: x.rlike(_bare(STUB_LINE)) | heads(x)) & F.exists("__l", lambda x: x.rlike(_bare(STUB_LINE)))
-    setext = F.regexp_replace("__t", r"(?m)^[^\n]{1,60}\r?\n-{3,}\s*$", "---")
+    out = docs.withColumn("__t", t)
+    loose = out.where(F.col("__t").rlike(_bare(LOOSE))).groupBy(F.xxhash64(masked(F.col("__t"))).alias("__w")).agg(F.count(F.lit(1)).alias("__n"), F.min(source).alias("__a"), F.max(source).alias("__b"))
+    wide = held(loose.where((F.col("__n") >= WIDE_TEXTS) & (F.col("__a") != F.col("__b"))).select("__w"))
+    # Each costly look is behind a cheap one that no text of its class can fail.
+    may_hold = F.col("__t").rlike(r"[$#{<\[]|%%|@@|__")
+    bare = F.when(may_hold, F.regexp_replace(F.regexp_replace(F.regexp_replace("__t", r"```[\s\S]*?(?:```|$)", " § "), r"`[^`\n]*`", " § "), r"\"[^\"\n]*\"", " § "))
+    setext = F.when(F.col("__t").contains("\n-"), F.regexp_replace("__t", r"(?m)^[^\n]{1,60}\r?\n-{3,}\s*$", "---")).otherwise(F.col("__t"))
+    lines = F.filter(F.split(F.regexp_replace(setext, r"<!--[\s\S]*?-->", "\n§form§\n"), r"\r?\n|\r"), lambda x: ~x.rlike(r"^\s*$"))
+    form = F.forall("__l", lambda x: x.rlike(_bare(STUB_LINE)) | x.rlike(HEADING_LINE)) & F.exists("__l", lambda x: x.rlike(_bare(STUB_LINE)))
     units = F.filter(F.split("__t", r"[\r\n]+|(?<=[.!?…])\s+(?=[\p{Lu}\d–—])"), lambda x: F.length(F.trim(x)) > 0)
-    words = F.filter(F.split(F.lower("__t"), r"[^\p{L}]+"), lambda x: x != "")
+    units = F.transform(units, lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, r"\s+", " "), r"\s*[–—|·]\s*(?:Codeharbor|Forge)$", "")))
+    may_fill = F.col("__t").rlike(rf"(?i)\b(?:{'|'.join(w for w in LATIN if len(w) > 4)})\b") | (F.size(F.array_distinct(F.split(F.translate(F.lower("__t"), "0123456789.,;:!?()[]{}<>#*_'\"/-", ""), " "))) <= 30)
+    words = F.when(may_fill, F.filter(F.split(F.lower("__t"), r"[^\p{L}]+"), lambda x: x != ""))
     latin = F.array(*[F.lit(w) for w in LATIN])
-    out = out.withColumns({"__bare": bare, "__l": F.when(F.col("__t").contains("\n-"), F.filter(F.split(F.regexp_replace(setext, r"<!--[\s\S]*?-->", "\n§form§\n"), r"\r?\n|\r"), lambda x: ~x.rlike(r"^\s*$"))).otherwise(lines), "__u": F.transform(units, lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, r"\s+", " "), r"\s*[–—|·]\s*(?:Codeharbor|Forge)$", ""))), "__words": words})
+    out = out.withColumns({"__bare": bare, "__l": lines, "__u": units, "__words": words, "__m": F.when(F.col("__t").rlike(_bare(LOOSE)), F.xxhash64(masked(F.col("__t"))))})
     n, distinct = F.size("__words"), F.size(F.array_distinct("__words"))
-    filler = F.col("__t").rlike(FILLER_TEXT) | ((n >= 6) & (distinct <= 6) & (n >= 2 * distinct)) | ((n >= 5) & (F.size(F.filter("__words", lambda w: F.array_contains(latin, w))) >= 0.8 * n))
+    filler = F.coalesce(F.col("__t").rlike(FILLER_TEXT) | ((n >= 6) & (distinct <= 6) & (n >= 2 * distinct)) | ((n >= 5) & (F.size(F.filter("__words", lambda w: F.array_contains(latin, w))) >= 0.8 * n)), F.lit(False))
     message = F.forall("__u", lambda x: (x == "") | x.rlike(_bare(MESSAGE_UNIT))) & F.exists("__u", lambda x: x.rlike(_bare(CORE_UNIT)))
     script = F.exists("__u", lambda x: x.rlike(_bare(rf"(?iu)^(?:forge · )?{SCRIPT_UNIT}")))
     out = out.join(wide, F.col("__m") == F.col("__w"), "left")
