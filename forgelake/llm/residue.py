@@ -52,6 +52,9 @@ _ANY = f"(?:{ERROR_UNIT}|{SCRIPT_UNIT}|{TAIL_UNIT})"
 MESSAGE_UNIT = rf"(?iu)^(?:forge · )?{_ANY}(?:\s+{_ANY})*(?:\s*[–—|·-]\s*(?:codeharbor|forge))?$"
 CORE_UNIT = rf"(?iu)^(?:forge · )?(?:{ERROR_UNIT}|{SCRIPT_UNIT})"
 
+#: What a blank of the patterns may be before white space is collapsed.
+BLANKS = r"\s+"
+
 #: Cues that make a widely recurring short message residue though no rule knows it whole.
 LOOSE = r"(?iu)^(?:please (?:enable|wait|log in|sign in)|you (?:need|must)|this (?:page|site|app|thread|repository) |loading|your (?:session|browser)|checking|error|oops|sorry|the (?:page|server|request|site) )[^#`]{0,200}(?:javascript|scripts?|browser|server|error|expired|denied|not found|unavailable|maintenance|disabled|again)\b[^#`]{0,120}$"
 
@@ -60,7 +63,7 @@ LATIN = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod t
 FILLER_TEXT = r"(?iu)^(?:(?:this is (?:a )?(?:dummy|filler|sample|placeholder|example) text|sample paragraph[^.\n]{0,40}|(?:dummy|filler|placeholder) text(?: here)?|text text text[^.\n]{0,30}|lorem ipsum[^\n]*)[.!]?\s*)+$"
 
 
-_FROM, _TO = "áàâäãåéèêëíìîïóòôöõúùûüñçýÁÀÂÄÉÈÊËÍÓÒÔÖÚÙÛÜÑÇ\u00a0", "aaaaaaeeeeiiiiooooouuuuncyAAAAEEEEIOOOOUUUUNC "
+_FROM, _TO = "áàâäãåéèêëíìîïóòôöõúùûüñçýÁÀÂÄÉÈÊËÍÓÒÔÖÚÙÛÜÑÇ\u00a0\u200b\ufeff", "aaaaaaeeeeiiiiooooouuuuncyAAAAEEEEIOOOOUUUUNC "
 
 
 def plain(text: Column) -> Column:
@@ -69,7 +72,7 @@ def plain(text: Column) -> Column:
 
 
 def _bare(pattern: str) -> str:
-    return pattern.translate(str.maketrans(_FROM, _TO))
+    return pattern.translate(str.maketrans(_FROM[:len(_TO)], _TO, _FROM[len(_TO):]))
 
 
 def masked(text: Column) -> Column:
@@ -93,32 +96,36 @@ def classified(docs: DataFrame, text: str, source: str) -> DataFrame:
     that recur widely are broadcast if a count proves them few; only then
     no text is shuffled.
     """
-    t = F.regexp_replace(F.regexp_replace(plain(F.col(text)), "[\\u200b\\ufeff]", ""), r"^\s+|\s+$", "")
+    t = F.btrim(plain(F.col(text)), F.lit(" \t\n\r\f\v"))
     out = docs.withColumn("__t", t)
     loose = out.where(F.col("__t").rlike(_bare(LOOSE))).groupBy(F.xxhash64(masked(F.col("__t"))).alias("__w")).agg(F.count(F.lit(1)).alias("__n"), F.min(source).alias("__a"), F.max(source).alias("__b"))
     wide = held(loose.where((F.col("__n") >= WIDE_TEXTS) & (F.col("__a") != F.col("__b"))).select("__w"))
     # Each costly look is behind a cheap one that no text of its class can fail.
-    may_hold = F.col("__t").rlike(r"[$#{<\[]|%%|@@|__")
+    may_hold = F.col("__t").rlike(r"[{<\[]|%%|@@|__")
     bare = F.when(may_hold, F.regexp_replace(F.regexp_replace(F.regexp_replace("__t", r"```[\s\S]*?(?:```|$)", " § "), r"`[^`\n]*`", " § "), r"\"[^\"\n]*\"", " § "))
     setext = F.when(F.col("__t").contains("\n-"), F.regexp_replace("__t", r"(?m)^[^\n]{1,60}\r?\n-{3,}\s*$", "---")).otherwise(F.col("__t"))
-    lines = F.filter(F.split(F.regexp_replace(setext, r"<!--[\s\S]*?-->", "\n§form§\n"), r"\r?\n|\r"), lambda x: ~x.rlike(r"^\s*$"))
-    form = F.forall("__l", lambda x: x.rlike(_bare(STUB_LINE)) | x.rlike(HEADING_LINE)) & F.exists("__l", lambda x: x.rlike(_bare(STUB_LINE)))
+    first = F.substring_index("__t", "\n", 1)
+    may_be_form = F.contains("__t", F.lit("\n-")) | F.contains("__t", F.lit("<!--")) | first.rlike(HEADING_LINE) | first.rlike(_bare(STUB_LINE))
+    lines = F.when(may_be_form, F.filter(F.split(F.regexp_replace(setext, r"<!--[\s\S]*?-->", "\n§form§\n"), r"\r?\n|\r"), lambda x: ~x.rlike(r"^\s*$")))
+    form = F.coalesce(F.forall("__l", lambda x: x.rlike(_bare(STUB_LINE)) | x.rlike(HEADING_LINE)) & F.exists("__l", lambda x: x.rlike(_bare(STUB_LINE))), F.lit(False))
     units = F.filter(F.split("__t", r"[\r\n]+|(?<=[.!?…])\s+(?=[\p{Lu}\d–—])"), lambda x: F.length(F.trim(x)) > 0)
     units = F.transform(units, lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, r"\s+", " "), r"\s*[–—|·]\s*(?:Codeharbor|Forge)$", "")))
-    may_fill = F.col("__t").rlike(rf"(?i)\b(?:{'|'.join(w for w in LATIN if len(w) > 4)})\b") | (F.size(F.array_distinct(F.split(F.translate(F.lower("__t"), "0123456789.,;:!?()[]{}<>#*_'\"/-", ""), " "))) <= 30)
+    units = F.when(F.col("__t").rlike(_bare(rf"(?iu)^(?:forge\s+·\s+)?{_ANY.replace(' ', BLANKS)}")), units)
+    rough = F.split(F.translate(F.lower("__t"), "\n\r\t0123456789.,;:!?()[]{}<>#*_'\"/-", "   "), " ")
+    may_fill = (F.size(F.array_distinct("__rough")) <= 30) | F.arrays_overlap("__rough", F.array(*[F.lit(w) for w in LATIN if len(w) > 4]))
     words = F.when(may_fill, F.filter(F.split(F.lower("__t"), r"[^\p{L}]+"), lambda x: x != ""))
     latin = F.array(*[F.lit(w) for w in LATIN])
-    out = out.withColumns({"__bare": bare, "__l": lines, "__u": units, "__words": words, "__m": F.when(F.col("__t").rlike(_bare(LOOSE)), F.xxhash64(masked(F.col("__t"))))})
+    out = out.withColumn("__rough", rough).withColumns({"__bare": bare, "__l": lines, "__u": units, "__words": words, "__m": F.when(F.col("__t").rlike(_bare(LOOSE)), F.xxhash64(masked(F.col("__t"))))})
     n, distinct = F.size("__words"), F.size(F.array_distinct("__words"))
     filler = F.coalesce(F.col("__t").rlike(FILLER_TEXT) | ((n >= 6) & (distinct <= 6) & (n >= 2 * distinct)) | ((n >= 5) & (F.size(F.filter("__words", lambda w: F.array_contains(latin, w))) >= 0.8 * n)), F.lit(False))
-    message = F.forall("__u", lambda x: (x == "") | x.rlike(_bare(MESSAGE_UNIT))) & F.exists("__u", lambda x: x.rlike(_bare(CORE_UNIT)))
+    message = F.coalesce(F.forall("__u", lambda x: (x == "") | x.rlike(_bare(MESSAGE_UNIT))) & F.exists("__u", lambda x: x.rlike(_bare(CORE_UNIT))), F.lit(False))
     script = F.exists("__u", lambda x: x.rlike(_bare(rf"(?iu)^(?:forge · )?{SCRIPT_UNIT}")))
     out = out.join(wide, F.col("__m") == F.col("__w"), "left")
     kind = (
         F.when(F.coalesce(F.col("__t"), F.lit("")) == "", None).when(F.col("__bare").rlike(PLACEHOLDER), "placeholder").when(form, "form").when(filler, "filler")
         .when(message & script, "script_notice").when(message, "error_page").when(F.col("__w").isNotNull(), "recurring")
     )
-    return out.withColumn("residue", kind).drop("__t", "__m", "__w", "__bare", "__l", "__u", "__words")
+    return out.withColumn("residue", kind).drop("__t", "__m", "__w", "__bare", "__l", "__u", "__words", "__rough")
 
 
 def messages(docs: DataFrame, text: str, source: str) -> DataFrame:
