@@ -132,7 +132,7 @@ class Grammar:
             stop, weight, nodes = self.run(text, p)
             if stop < size or not nodes:
                 continue
-            if self.title and (number or nodes[0][2] == "page/account/action" or re.search(r"(?:[·|›—]|\s[-/]|\n|[ \t]{2})[ \t]*$", text[:p])):
+            if self.title and (number or nodes[0][2] == "page/account/action" or text[nodes[0][0]:nodes[0][1]] in ("Log in", "Sign up") or re.search(r"(?:[·|›—]|\s[-/]|\n|[ \t]{2})[ \t]*$", text[:p])):
                 weight += 1
             if weight >= 2 or (self.title and weight + head_weight >= 2):
                 tail, tail_weight = nodes, weight
