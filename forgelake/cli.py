@@ -8,6 +8,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from forgelake.config import PRESETS, EngineConfig, preset
+from forgelake.errors import SettingError
 from forgelake.plans import pipeline
 from forgelake.session import local_session
 from forgelake.sources import records, sinks
@@ -31,6 +32,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def settings(a: argparse.Namespace) -> EngineConfig:
     given = {"min_stars": a.stars, "with_commits": not a.skip_commits}
     if a.max_closed_prs is not None:
+        if a.max_closed_prs < 0:
+            raise SettingError("--max-closed-prs must not be negative")
         given["closed_limit"] = a.max_closed_prs
     return preset(a.preset, **given) if a.preset else EngineConfig(**given)
 

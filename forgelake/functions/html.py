@@ -244,3 +244,39 @@ def anchor_texts(html: Column, href: str) -> Column:
     """The texts of the anchors whose link holds `href` (a regular expression), in order."""
     found = F.regexp_extract_all(html, F.lit(rf'(?is)<a\b[^>]*\bhref="[^"]*{href}[^"]*"[^>]*>(.*?)</a>'), F.lit(1))
     return F.transform(found, lambda x: strip(F.regexp_replace(F.regexp_replace(x, r"<[^>]*>", " "), r"\s+", " ")))
+
+
+def link_count(html: Column, href: str) -> Column:
+    """How many anchors lead to links that hold `href` (a regular expression)."""
+    return F.size(anchor_texts(html, href))
+
+
+def state_counts(html: Column, href: str = "/(?:issues|pulls)") -> Column:
+    """struct<open,closed>: the counts a listing page shows, or null.
+
+    By priority: anchors whose text or link says the state, then the number
+    next to the word anywhere in the page's text, then the first number of any
+    such anchor, as open.
+    """
+    from forgelake.functions.text import compact_count
+
+    texts = anchor_texts(html, href)
+    number = r"(\d[\d,.]*[km]?)"
+    page = F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1>", " "), r"<[^>]*>", " ")
+
+    def of(word: str) -> Column:
+        said = F.get(F.filter(texts, lambda t: t.rlike(rf"(?i)\b{word}\b") & t.rlike(r"\d")), F.lit(0))
+        linked = F.get(F.filter(anchor_texts(html, rf"{href}[^\"]*is%3A{word}"), lambda t: t.rlike(r"\d")), F.lit(0))
+        near = F.coalesce(first_match(page, rf"(?i)\b{word}\s*\({number}\)"), first_match(page, rf"(?i){number}\s*{word}\b"), first_match(page, rf"(?i)\b{word}\s*{number}"))
+        return compact_count(F.coalesce(said, linked, near))
+
+    first = compact_count(F.get(F.filter(texts, lambda t: t.rlike(r"\d")), F.lit(0)))
+    return F.struct(F.coalesce(of("open"), first).alias("open"), of("closed").alias("closed"))
+
+
+def commit_details(html: Column) -> Column:
+    """struct<sha,message,author,date> of a commit's page; null where a field is missing."""
+    sha = F.coalesce(first_match(html, r"/commit/([a-f0-9]{40})"), first_match(html, r"\b([a-f0-9]{40})\b"))
+    message = strip(F.regexp_replace(first_match(html, r'(?is)class="[^"]*commit-title[^"]*"[^>]*>(.*?)</'), r"<[^>]*>", ""))
+    author = strip(F.regexp_replace(first_match(html, r'(?is)class="[^"]*(?:commit-author|author)[^"]*"[^>]*>(.*?)</'), r"<[^>]*>", ""))
+    return F.struct(sha.alias("sha"), F.when(message != "", message).alias("message"), F.when(author != "", author).alias("author"), first_match(html, r'(?i)<(?:relative-time|time)\b[^>]*\bdatetime="([^"]+)"').alias("date"))

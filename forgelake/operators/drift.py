@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forgelake.errors import LayoutError
+
 #: Distinct renamed or typed paths that the projection may hold in its plan.
 MAX_PATHS = 5000
 
@@ -95,7 +97,7 @@ def layout_plan(stats: DataFrame, changed: DataFrame) -> list[dict]:
     seen = stats.groupBy("path", "kind").agg(F.sum("n").alias("n")).limit(MAX_PATHS + 1).collect()
     tied = changed.where("change_kind = 'renamed'").select("old_path", "new_path").distinct().limit(MAX_PATHS + 1).collect()
     if max(len(seen), len(tied)) > MAX_PATHS:
-        raise ValueError(f"more than {MAX_PATHS} paths: not a drifting schema but keys that hold data")
+        raise LayoutError(f"more than {MAX_PATHS} paths: not a drifting schema but keys that hold data")
     root: dict[str, str] = {}
 
     def find(p: str) -> str:

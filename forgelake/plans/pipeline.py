@@ -71,6 +71,20 @@ def fetched(found: DataFrame, cached: DataFrame, pages: DataFrame, config: Engin
     return first_rows(every, ["repo_url", "number"], ["__part"]).drop("__part")
 
 
+def commit_history(pages: DataFrame, config: EngineConfig) -> DataFrame:
+    """repo_url, pos, sha: the newest commits that listing pages (kind `commits`) lead to, each at its first place.
+
+    Pages end at the first one without commits; what lies behind it belongs to
+    no history. At most commit_limit per repository.
+    """
+    links = pages.where("page_kind = 'commits'").select("repo_url", "page_no", X.commit_links(F.col("html")).alias("shas"))
+    end = links.where(F.size("shas") == 0).groupBy("repo_url").agg(F.min("page_no").alias("__end"))
+    rows = links.join(end, "repo_url", "left").where("__end is null or page_no < __end").select("repo_url", "page_no", F.posexplode("shas").alias("i", "sha"))
+    first = first_rows(rows, ["repo_url", "sha"], ["page_no", "i"])
+    kept = top_rows(first, ["repo_url"], config.commit_limit, [F.asc("page_no"), F.asc("i")])
+    return kept.select("repo_url", (F.col("rank") - 1).alias("pos"), "sha")
+
+
 def issue_records(pages: DataFrame, config: EngineConfig) -> DataFrame:
     """repo_url, number and fields of captured issue pages; comments from the page's JSON where it has some, else from its elements."""
     rows = pages.where("page_kind = 'issue'").withColumn("f", H.page_fields(F.col("html"), True, config.comment_min, config.comment_max)).withColumn("j", J.page_comments(F.col("html")))

@@ -158,3 +158,11 @@ def test_settings():
     assert preset("latest_2000", min_stars=5) == EngineConfig(closed_limit=2000, min_stars=5)
     a = cli.arguments(["-i", "x", "--max-closed-prs", "7", "--skip-commits"])
     assert (cli.settings(a).closed_limit, cli.settings(a).with_commits) == (7, False)
+
+
+def test_commit_history(spark, rows):
+    a, b, c = ("a" * 40, "b" * 40, "c" * 40)
+    page = lambda n, *s: ("commits", REPO, None, n, None, "", "".join(f'<a href="/o/r/commit/{x}">x</a>' for x in s))
+    p = spark.createDataFrame([page(1, a, b), page(2, b, c), page(3), page(4, "d" * 40)], "page_kind string, repo_url string, pr_state string, page_no int, item_no bigint, url string, html string")
+    assert rows(pipeline.commit_history(p, EngineConfig())) == [(REPO, 0, a), (REPO, 1, b), (REPO, 2, c)]
+    assert rows(pipeline.commit_history(p, EngineConfig(commit_limit=1))) == [(REPO, 0, a)]

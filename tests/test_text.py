@@ -142,3 +142,17 @@ def test_json_comments(on):
     post = '{"@type": "DiscussionForumPosting", "articleBody": "ab", "author": {"name": "zoe"}, "datePublished": "1"}'
     assert [(c.author, c.content) for c in on(J.page_comments, page_with(post))] == [("zoe", "ab")]
     assert on(J.page_comments, page_with("{broken")) == [] and on(J.page_comments, "no script") == [] and on(J.page_comments, None) is None
+
+
+def test_counts_and_commits_of_pages(on):
+    def counts(html):
+        r = on(H.state_counts, html)
+        return r.open, r.closed
+
+    assert counts('<a href="/o/r/issues?q=is%3Aopen">1.2k Open</a><a href="/o/r/issues?q=is%3Aclosed"><b>3,400</b> Closed</a>') == (1200, 3400)
+    assert counts('<a href="/o/r/issues?q=is%3Aopen">12</a><p>Closed (7)</p>') == (12, 7)
+    assert counts('<a href="/o/r/issues">Issues 5</a>') == (5, None) and counts("nothing") == (None, None)
+    assert on(lambda c: H.link_count(c, "/u/"), '<a href="/u/1">a</a><a href="/u/2">b</a><a href="/x">c</a>') == 2
+    sha = "f" * 40
+    d = on(H.commit_details, f'<p class="commit-title">Fix <b>it</b></p><a href="/r/commit/{sha}">x</a><a class="commit-author">ann</a><relative-time datetime="2024-01-01T00:00:00Z">')
+    assert (d.sha, d.message, d.author, d.date) == (sha, "Fix", "ann", "2024-01-01T00:00:00Z") and on(H.commit_details, "").sha is None
