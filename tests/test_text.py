@@ -155,4 +155,4 @@ def test_counts_and_commits_of_pages(on):
     assert on(lambda c: H.link_count(c, "/u/"), '<a href="/u/1">a</a><a href="/u/2">b</a><a href="/x">c</a>') == 2
     sha = "f" * 40
     d = on(H.commit_details, f'<p class="commit-title">Fix <b>it</b></p><a href="/r/commit/{sha}">x</a><a class="commit-author">ann</a><relative-time datetime="2024-01-01T00:00:00Z">')
-    assert (d.sha, d.message, d.author, d.date) == (sha, "Fix", "ann", "2024-01-01T00:00:00Z") and on(H.commit_details, "").sha is None
+    assert (d.sha, d.message, d.author, d.date) == (sha, "Fix it", "ann", "2024-01-01T00:00:00Z") and on(H.commit_details, "").sha is None
