@@ -66,4 +66,29 @@ def p5_comments(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p5_found": p5_found, "p5_pull_requests": p5_pull_requests, "p5_issues": p5_issues, "p5_comments": p5_comments}
-SQL: dict[str, str] = {}
+_PRS = """
+    o as (select line_id, j from (select line_id, try_cast(raw_line as json) j from crawl_lines) where json_type(j) = 'OBJECT'),
+    a as (select line_id, cast(json_extract(j, '$.pull_requests') as json[]) prs from o where json_type(j, '$.pull_requests') = 'ARRAY'),
+    prs as (select line_id, unnest(prs) p, unnest(range(len(prs))) pr_pos from a)"""
+_BELOW = """
+    pc as (select line_id, pr_pos, unnest(cast(json_extract(p, '$.comments') as json[])) c, unnest(range(cast(json_array_length(p, '$.comments') as bigint))) comment_pos from prs where json_type(p, '$.comments') = 'ARRAY'),
+    ri as (select line_id, pr_pos, unnest(cast(i as json[])) i, unnest(range(cast(json_array_length(i) as bigint))) issue_pos from (select line_id, pr_pos, coalesce(json_extract(p, '$.related_issues'), json_extract(p, '$.linked_issues')) i from prs) where json_type(i) = 'ARRAY'),
+    ic as (select line_id, pr_pos, issue_pos, unnest(cast(json_extract(i, '$.comments') as json[])) c, unnest(range(cast(json_array_length(i, '$.comments') as bigint))) comment_pos from ri where json_type(i, '$.comments') = 'ARRAY')"""
+SQL = {
+    "p5_found": f"""
+        with {_PRS}, {_BELOW}
+        select line_id, 'pull_request' child_kind, cast(pr_pos as bigint) pr_pos, cast(-1 as bigint) issue_pos, cast(-1 as bigint) comment_pos from prs union all select line_id, 'pr_comment', pr_pos, -1, comment_pos from pc
+        union all select line_id, 'related_issue', pr_pos, issue_pos, -1 from ri union all select line_id, 'issue_comment', pr_pos, issue_pos, comment_pos from ic""",
+    "p5_pull_requests": f"""
+        with {_PRS}, t as (select line_id, pr_pos, coalesce(nullif(json_extract_string(p, '$.author.login'), ''), case when json_type(p, '$.author') = 'VARCHAR' then json_extract_string(p, '$.author') end) author, p, coalesce(json_extract(p, '$.previous_commit_id'), json_extract(p, '$.prev_commit'), json_extract(p, '$.previousCommitId'), json_extract(p, '$.parent_sha')) v from prs)
+        select line_id, pr_pos, cast(json_extract_string(p, '$.number') as bigint) number, json_extract_string(p, '$.title') title, json_extract_string(p, '$.state') state, author, json_extract_string(p, '$.created_at') created_at,
+               coalesce(json_extract_string(p, '$.updated_at'), json_extract_string(p, '$.modified_at')) updated_at, json_extract_string(p, '$.url') url, coalesce(json_extract_string(p, '$.commit_id'), json_extract_string(p, '$.merge_commit')) commit_id,
+               case json_type(v) when 'OBJECT' then json_extract_string(v, '$.sha') when 'VARCHAR' then json_extract_string(v, '$') end previous_commit_id from t""",
+    "p5_issues": f"""
+        with {_PRS}, {_BELOW}
+        select line_id, pr_pos, issue_pos, case when json_type(i) = 'OBJECT' then cast(json_extract_string(i, '$.number') as bigint) else cast(json_extract_string(i, '$') as bigint) end number, json_extract_string(i, '$.title') title, json_extract_string(i, '$.state') state,
+               json_extract_string(i, '$.author') author, json_extract_string(i, '$.created_at') created_at, json_extract_string(i, '$.updated_at') updated_at, json_extract_string(i, '$.url') url from ri""",
+    "p5_comments": f"""
+        with {_PRS}, {_BELOW}, c as (select line_id, 'pr_comment' child_kind, pr_pos, cast(-1 as bigint) issue_pos, comment_pos, c from pc union all select line_id, 'issue_comment', pr_pos, issue_pos, comment_pos, c from ic)
+        select line_id, child_kind, pr_pos, issue_pos, comment_pos, json_extract_string(c, '$.author') author, json_extract_string(c, '$.timestamp') posted_at, case when json_type(c) = 'VARCHAR' then json_extract_string(c, '$') else json_extract_string(c, '$.content') end as content from c""",
+}
