@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgelake.operators.lookup import held
+from forgelake.operators.ordered import running_sums
 
 #: Fractional part of the golden ratio.
 GOLDEN = 0.6180339887498949
@@ -24,20 +25,6 @@ CELLS = 4096
 BUCKET_ROWS = 50_000
 
 
-def running_sums(df: DataFrame, key: str, order: list[str], value: str, out: str, buckets: int) -> DataFrame:
-    """Adds out: the sum of `value` over the rows of the same key before each row, in the order of __bucket and `order`.
-
-    Two levels: sums of buckets are added up first (buckets rows per key), then
-    rows within each bucket, so no task orders a whole key. df has an int
-    column __bucket in 0..buckets-1.
-    """
-    sums = df.groupBy(key, "__bucket").agg(F.sum(value).alias("__sum"))
-    before = sums.selectExpr(f"`{key}` as __key", "__bucket as __b", f"coalesce(sum(__sum) over (partition by `{key}` order by __bucket rows between unbounded preceding and 1 preceding), 0) as __before")
-    joined = df.join(before, (F.col(key) == F.col("__key")) & (F.col("__bucket") == F.col("__b")))
-    by = ", ".join(f"`{c}`" for c in order)
-    return joined.withColumn(out, F.col("__before") + F.expr(f"coalesce(sum(`{value}`) over (partition by `{key}`, __bucket order by {by} rows between unbounded preceding and 1 preceding), 0)")).drop("__key", "__b", "__before")
-
-
 def plan(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = None, max_sources: int = 100_000) -> DataFrame:
     """source, target_share, max_repeats, available, planned: how many tokens each source is to give.
 
@@ -81,8 +68,11 @@ def mixture(docs: DataFrame, planned: DataFrame, key: str, source: str, tokens:
     the first are left out, the second are texts of their own. planned: as of
     plan. A slot has `block` tokens of one source; a text may begin in one slot
     and end in another. No text is used more than max_repeats times: slots
-    past a source's cap stay empty.
+    past a source's cap stay empty. The key must not be called like another
+    column of the result.
     """
+    if key in ("slot", "source", "rank", "repeat", "from_token", "to_token"):
+        raise ValueError(f"{key} is a name of the result")
     rows = planned.where("planned > 0").orderBy("source").collect()
     total = sum(r["planned"] for r in rows)
     slots = total // block
@@ -102,13 +92,13 @@ def mixture(docs: DataFrame, planned: DataFrame, key: str, source: str, tokens:
     schedule = spark.range(slots).withColumn("__at", point).withColumn("__cell", F.expr(f"cast(floor(__at * {CELLS}) as int)"))
     schedule = schedule.join(F.broadcast(steps), "__cell").where("__at >= low and __at < high")
     schedule = schedule.select("source", F.col("id").alias("slot"), F.lit(1).cast("bigint").alias("__one"), F.least(F.lit(buckets - 1), (F.col("id") / (slots / buckets)).cast("int")).alias("__bucket"))
-    schedule = running_sums(schedule, "source", ["slot"], "__one", "rank", buckets).select("source", "rank", "slot")
+    schedule = running_sums(schedule, ["source"], "__bucket", ["slot"], "__one", "rank").select("source", "rank", "slot")
     # The streams: texts in shuffled order, where each begins, and the blocks it reaches in each round.
     caps = held(spark.createDataFrame([(r["source"], r["available"], min(r["max_repeats"] * r["available"], (int(r["planned"] * 1.05) // block + 8) * block)) for r in rows], "source string, available bigint, upto bigint"))
     texts = docs.select(F.col(source).alias("source"), F.col(key).alias("__doc"), F.col(tokens).cast("bigint").alias("__n")).where("__n > 0").withColumn("__shuffled", F.xxhash64(F.lit(seed), "__doc"))
     n = max(1, max(r["available"] for r in rows) // (BUCKET_ROWS * 200) + 1)
     texts = texts.join(caps, "source").withColumn("__bucket", F.pmod("__shuffled", F.lit(n)).cast("int"))
-    texts = running_sums(texts, "source", ["__shuffled", "__doc", "__n"], "__n", "__start", n)
+    texts = running_sums(texts, ["source"], "__bucket", ["__shuffled", "__doc", "__n"], "__n", "__start")
     rounds = texts.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("(upto - 1) div available"))).alias("repeat"))
     rounds = rounds.withColumn("__from", F.expr("repeat * available + __start")).withColumn("__to", F.expr("least(__from + __n, upto)")).where("__from < __to")
     pieces = rounds.select("source", "__doc", "repeat", "__from", "__to", F.explode(F.sequence(F.expr(f"__from div {block}"), F.expr(f"(__to - 1) div {block}"))).alias("rank"))

@@ -69,15 +69,6 @@ def test_mixture(spark):
         assert abs(part.count("a") / 100 - rep["a"].planned / sum(r.planned for r in rep.values())) < 0.06
 
 
-def test_prefix_sums_cross_buckets(spark):
-    rng = random.Random(3)
-    rows = [(rng.choice("xy"), i, rng.randrange(5)) for i in range(300)]
-    df = spark.createDataFrame(rows, "k string, i int, v bigint").withColumn("__bucket", (F.col("i") / 40).cast("int"))
-    got = {r.i: r.s for r in mixing.running_sums(df, "k", ["i"], "v", "s", 8).collect()}
-    for k, i, _ in rows:
-        assert got[i] == sum(v for kk, ii, v in rows if kk == k and ii < i)
-
-
 def test_nothing_to_mix(spark):
     for docs, targets in (([(1, "a", 5)], [("b", 1.0, 2)]), ([(1, "a", 5)], [("a", 1.0, 0)]), ([(1, None, None)], [("a", None, None)])):
         d, p, m = shares(spark, docs, targets, block=4)
