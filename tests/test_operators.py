@@ -45,6 +45,14 @@ def test_ordered_against_lists(spark):
             assert run[r[0]] == n
 
 
+def test_running_sums_cross_buckets(spark):
+    rng = random.Random(3)
+    data = [(rng.choice(["x", "y", None]), i, rng.randrange(5)) for i in range(300)]
+    df = spark.createDataFrame(data, "k string, i int, v bigint").withColumn("b", (F.col("i") / 40).cast("int"))
+    got = {r.i: r.s for r in ordered.running_sums(df, ["k"], "b", ["i"], "v", "s").collect()}
+    assert got == {i: sum(v for kk, ii, v in data if kk == k and ii < i) for k, i, _ in data}
+
+
 def test_top_first_latest(spark, rows):
     data, df = history(spark)
     top = rows(ordered.top_rows(df.select("k", "id"), ["k"], 4, [F.desc("id")]).select("k", "id", "rank"))
