@@ -25,9 +25,9 @@ def query(sql: str | None = None):
     return keep
 
 
-def latest_crawls(spark: SparkSession, d: str) -> DataFrame:
-    """The newest crawl of each repository (the highest crawl_id)."""
-    return latest_rows(table(spark, d, "crawled_repositories"), ["url"], ["crawl_id"])
+def latest_crawls(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """url and columns of the newest crawl of each repository (the highest crawl_id); nothing else is read."""
+    return latest_rows(table(spark, d, "crawled_repositories", "url", "crawl_id", *columns), ["url"], ["crawl_id"], columns)
 
 
 LATEST = "latest as (select * from crawled_repositories qualify row_number() over (partition by url order by crawl_id desc) = 1)"
@@ -111,7 +111,7 @@ def coverage_gate(spark, d):
     closed = F.lower("state").isin("closed", "merged")
     counts = table(spark, d, "pull_requests", "repo_url", "state").groupBy("repo_url").agg(F.count_if(F.coalesce(closed, F.lit(False))).alias("n_closed"))
     target = F.least(F.lit(500), F.col("closed_pull_requests"))
-    both = latest_crawls(spark, d).select("url", "closed_pull_requests").where("closed_pull_requests is not null").join(counts, F.col("url") == F.col("repo_url"))
+    both = latest_crawls(spark, d, "closed_pull_requests").where("closed_pull_requests is not null").join(counts, F.col("url") == F.col("repo_url"))
     return both.select("url", "n_closed", (F.col("n_closed") >= 0.9 * target).alias("meets"), R.still_needed(F.col("n_closed"), target).alias("n_needed"))
 
 
@@ -220,7 +220,7 @@ def density_check(spark, d):
     from latest left join top on repo_url = url""")
 def closed_estimate(spark, d):
     top = table(spark, d, "issues", "repo_url", "number").groupBy("repo_url").agg(F.max("number").alias("last_number"))
-    r = latest_crawls(spark, d).select("url", "open_issues", "total_pull_requests").join(top, F.col("url") == F.col("repo_url"), "left").withColumn("last_number", F.coalesce("last_number", F.lit(0).cast("bigint")))
+    r = latest_crawls(spark, d, "open_issues", "total_pull_requests").join(top, F.col("url") == F.col("repo_url"), "left").withColumn("last_number", F.coalesce("last_number", F.lit(0).cast("bigint")))
     zero = F.lit(0).cast("bigint")
     return r.select("url", "last_number", F.greatest(zero, F.col("last_number") - F.col("open_issues") - F.col("total_pull_requests")).alias("estimate"), F.when((F.col("last_number") == 0) | (F.col("open_issues") == 0), zero).otherwise(F.greatest(zero, F.col("last_number") - F.col("open_issues"))).alias("fallback"))
 
@@ -274,7 +274,7 @@ def cached_failure_skip(spark, d):
     from latest left join n on repo_url = url""")
 def completion_flags(spark, d):
     n = table(spark, d, "pull_requests", "repo_url", "number").groupBy("repo_url").agg(F.count_distinct("number").alias("scraped"))
-    r = latest_crawls(spark, d).select("url", "total_pull_requests").join(n, F.col("url") == F.col("repo_url"), "left").withColumn("scraped", F.coalesce("scraped", F.lit(0).cast("bigint")))
+    r = latest_crawls(spark, d, "total_pull_requests").join(n, F.col("url") == F.col("repo_url"), "left").withColumn("scraped", F.coalesce("scraped", F.lit(0).cast("bigint")))
     t, s = F.col("total_pull_requests"), F.col("scraped")
     return r.select("url", "scraped", ((t > 0) & (s >= t)).alias("complete"), (s < 0.8 * t).alias("short"), M.coverage(s, t).alias("coverage"))
 
@@ -302,7 +302,7 @@ def nested_output(spark, d):
     """The nested output record, read back field by field: stats as a struct, counts from the children's table."""
     n = table(spark, d, "pull_requests", "repo_url", "state").groupBy("repo_url").agg(F.count(F.lit(1)).alias("n_prs"), F.count_if(F.coalesce(F.lower("state") == "merged", F.lit(False))).alias("n_merged"))
     stats = ["contributors_count", "forks_count", "total_issues", "open_issues", "closed_issues", "total_pull_requests", "open_pull_requests", "closed_pull_requests", "pr_counts_available"]
-    r = latest_crawls(spark, d).select("url", "stars", F.struct(*stats).alias("stats"), "crawl_success").join(n, F.col("url") == F.col("repo_url"), "left")
+    r = latest_crawls(spark, d, "stars", "crawl_success", *stats).select("url", "stars", F.struct(*stats).alias("stats"), "crawl_success").join(n, F.col("url") == F.col("repo_url"), "left")
     return r.select("url", "stars", "stats.open_pull_requests", F.coalesce("n_prs", F.lit(0).cast("bigint")).alias("n_prs"), F.coalesce("n_merged", F.lit(0).cast("bigint")).alias("n_merged"), (F.col("crawl_success") & (F.col("n_prs") > 0)).alias("ok"))
 
 
@@ -316,7 +316,7 @@ def flagship(spark, d):
     closed = F.lower("state").isin("closed", "merged")
     pulls = table(spark, d, "pull_requests", "repo_url", "number", "pr_id", "state").where(closed).drop("state")
     counts = pulls.groupBy("repo_url").agg(F.count(F.lit(1)).alias("n_closed"))
-    repos = R.at_least(latest_crawls(spark, d).select("url", "stars", "closed_pull_requests"), "stars", 500)
+    repos = R.at_least(latest_crawls(spark, d, "stars", "closed_pull_requests"), "stars", 500)
     done = table(spark, d, "crawled_repositories", "url", "crawl_success", "source").where("crawl_success and source = 'crawler_c'").select("url")
     every = repos.join(counts, F.col("url") == F.col("repo_url"), "left").withColumn("n_closed", F.coalesce("n_closed", F.lit(0)))
     picked = R.not_done(every.where(F.col("n_closed") >= 0.9 * F.least(F.lit(5), F.col("closed_pull_requests"))), done, ["url"]).select(F.col("url").alias("repo_url"))
