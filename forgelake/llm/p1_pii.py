@@ -13,8 +13,6 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     comments = table(spark, d, "comments", "comment_id", "author", "content")
     lexicon = name_parts(comments, "author")
     both = comments.select("comment_id", F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("text")) for f in ("content", "author")])).alias("x")).select("comment_id", "x.*")
-    # A field without a digit, an at sign or two capitalised words in a row holds no candidate.
-    both = both.where(F.col("text").rlike(r"@|\d{3}|\d\d[ ./-]\d\d|\d\s\p{L}|\b(?i:at)\b|\p{Lu}[\p{L}'’-]*,? (?:\p{Lu}\. )?\p{Lu}"))
     kinds = both.select("comment_id", "field_name", types_of(F.col("text"), "content", lexicon).alias("kinds"))
     return kinds.select("comment_id", "field_name", F.explode("kinds").alias("pii_type")).distinct()
 

@@ -1,6 +1,9 @@
+import re
+
 import pytest
 
 from forgelake.llm import pii
+from forgelake.llm.p1_pii import p1_found, p1_masked
 
 KNOWN = [p for i, p in enumerate(pii._PARTS) if i % 6]
 LEXICON = pii.Lexicon({f.lower(): 9 for f, _ in KNOWN}, {x.lower(): 9 for _, x in KNOWN})
@@ -64,3 +67,14 @@ def test_columns(spark):
     assert (got[2].c, got[2].a, got[2].k, got[3].c) == (None, None, [], "")
     assert [x.type for x in got[4].i] == ["email", "phone"] and got[4].i[0].start == 120_005
     assert df.limit(0).select(pii.types_of(df.content, "content", lex)).count() == 0
+
+
+def test_found_are_the_types_that_are_masked(spark, tmp_path):
+    """No text is passed over before the field sees it; addresses of one or two digits were."""
+    texts = ["I live at Calle de la Noria 11, Graymouth.", "Ship the test board to Calle del Olmo 6, Muhrstadt.", "Postal address: Muhrgasse 12, Lindow", "I live at 12, rue des Lanternes and wait.", "Mail timo@mail.example or call 212-555-0117.", "LGTM", "", None]
+    rows = [(i, "Timo Vesterlund" if i % 2 else None, t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "comment_id bigint, author string, content string").write.parquet(f"{tmp_path}/comments.parquet")
+    got = {tuple(r) for r in p1_found(spark, str(tmp_path)).collect()}
+    want = {(r.comment_id, f, k.lower()) for r in p1_masked(spark, str(tmp_path)).collect() for f in ("author", "content") for k in re.findall(r"<([A-Z_]+)>", r[f] or "")}
+    assert got == want
+    assert {i for i, f, k in got if k == "address"} == {0, 1, 2, 3}
