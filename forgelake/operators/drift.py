@@ -132,8 +132,27 @@ def typed_table(lines: DataFrame, keep: Sequence[str], raw: str, plan: list[dict
     strings keep their JSON text. A column whose name clashes with one of keep
     gets `_` put behind it.
     """
-    records = parsed(lines, raw).where("record is not null")
-    taken, held, columns, fails = set(keep), [], [], []
+    return _typed(parsed(lines, raw).where("record is not null"), keep, plan)
+
+
+def typed_items(lines: DataFrame, keep: Sequence[str], raw: str, parent: str, pos: str, plan: list[dict]) -> DataFrame:
+    """typed_table of the objects in the array `parent`: a row for each, with keep... and its position `pos`.
+
+    plan has the paths below parent. An object in place of the array counts as
+    its only item. Items that are no objects keep their row, with no value and
+    with parent in failed_casts (nulls without); records without items have none.
+    """
+    v = F.try_variant_get("record", f"$['{parent}']", "variant")
+    s = F.schema_of_variant(v)
+    items = F.when(s.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>")).when(v.isNotNull() & ~F.is_variant_null(v), F.array(v))
+    rows = parsed(lines, raw).where("record is not null").select(*keep, F.posexplode(items).alias("__pos", "record")).select(*keep, F.col("__pos").cast("bigint").alias(pos), "record")
+    odd = F.col("record").isNotNull() & ~F.is_variant_null("record") & ~F.schema_of_variant("record").startswith("OBJECT")
+    below = [c | {"aliases": [p[len(parent) + 1:] for p in c["aliases"]]} for c in plan]
+    return _typed(rows, [*keep, pos], below, F.when(odd, F.lit(parent)))
+
+
+def _typed(records: DataFrame, keep: Sequence[str], plan: list[dict], *failed: Column) -> DataFrame:
+    taken, held, columns, fails = set(keep), [f.alias(f"__f{i}") for i, f in enumerate(failed)], [], [F.col(f"__f{i}") for i in range(len(failed))]
     for i, c in enumerate(plan):
         name = c["path"].replace(".", "__")
         while name in taken:

@@ -28,15 +28,25 @@ def p2_path_stats(spark: SparkSession, d: str) -> DataFrame:
     return stats_of(spark, d).withColumn("kind", F.coalesce("kind", F.lit("")))
 
 
-def p2_records(spark: SparkSession, d: str) -> DataFrame:
-    """All complete records of all files in one layout."""
+def layout(spark: SparkSession, d: str) -> list[dict]:
     files = table(spark, d, "crawl_files", "file_id", "series", "written_at")
-    stats = written(stats_of(spark, d, ("stats",)), "p2-stats")
-    plan = drift.layout_plan(stats, drift.changes(stats, files, "file_id", "series", "written_at"))
-    return drift.typed_table(table(spark, d, "crawl_lines", "line_id", "file_id", "line_no", "raw_line"), ["line_id", "file_id", "line_no"], "raw_line", [c for c in plan if c["path"] != "stats"])
+    stats = written(stats_of(spark, d), "p2-stats")
+    return drift.layout_plan(stats, drift.changes(stats, files, "file_id", "series", "written_at"))
+
+
+def p2_records(spark: SparkSession, d: str) -> DataFrame:
+    """All complete records of all files in one layout; their pull requests, here as JSON text, are in p2_pull_requests."""
+    plan = [c for c in layout(spark, d) if c["path"] != "stats" and not c["path"].startswith("pull_requests.")]
+    return drift.typed_table(table(spark, d, "crawl_lines", "line_id", "file_id", "line_no", "raw_line"), ["line_id", "file_id", "line_no"], "raw_line", plan)
+
+
+def p2_pull_requests(spark: SparkSession, d: str) -> DataFrame:
+    """The pull requests of all complete records in one layout, by line_id and pr_pos."""
+    plan = [c for c in layout(spark, d) if c["path"].startswith("pull_requests.")]
+    return drift.typed_items(table(spark, d, "crawl_lines", "line_id", "file_id", "line_no", "raw_line"), ["line_id", "file_id", "line_no"], "raw_line", "pull_requests", "pr_pos", plan)
 
 
-QUERIES = {"p2_found": p2_found, "p2_path_stats": p2_path_stats, "p2_records": p2_records}
+QUERIES = {"p2_found": p2_found, "p2_path_stats": p2_path_stats, "p2_records": p2_records, "p2_pull_requests": p2_pull_requests}
 
 def _one(t: str) -> str:
     return f"case when {t} in ('BIGINT', 'UBIGINT', 'DOUBLE', 'HUGEINT') then 'number' when {t} = 'VARCHAR' then 'string' when {t} = 'BOOLEAN' then 'boolean' when {t} = 'OBJECT' then 'object' else '' end"

@@ -53,6 +53,22 @@ def test_typed_table(spark):
     assert sorted((r[name] or -1, tuple(r.failed_casts)) for r in got.collect()) == [(-1, ()), (-1, (name,)), (5, ()), (7, ()), (8, ())]
 
 
+def test_pull_requests_in_one_layout(spark, tmp_path):
+    from datetime import datetime
+
+    from forgelake.plans.catalogue import QUERIES
+
+    requests = [(1, [{"number": 1, "previous_commit_id": "a"}, {"number": "x", "previous_commit_id": None}]), (2, [{"number": 2, "previousCommitId": "b"}, 5]), (3, None)]
+    raw = [(f * 10, f, 0, json.dumps({"url": "u", "stats": {"forks": 1}, "pull_requests": p})) for f, p in requests]
+    spark.createDataFrame(raw, "line_id bigint, file_id bigint, line_no int, raw_line string").write.parquet(f"{tmp_path}/crawl_lines.parquet")
+    spark.createDataFrame([(f, "s", datetime(2024, 1, f)) for f, _ in requests], "file_id bigint, series string, written_at timestamp").write.parquet(f"{tmp_path}/crawl_files.parquet")
+    got = QUERIES["p2_pull_requests"](spark, str(tmp_path)).collect()
+    name = next(c for c in got[0].asDict() if c.startswith("pull_requests__prev"))
+    assert sorted((r.line_id, r.pr_pos, r.pull_requests__number, r[name], tuple(r.failed_casts)) for r in got) == [
+        (10, 0, 1, "a", ()), (10, 1, None, None, ("pull_requests.number",)), (20, 0, 2, "b", ()), (20, 1, None, None, ("pull_requests",)),
+    ]
+
+
 def test_levels_of_a_known_record():
     r = {"a": [{"b": [1, 2]}, {}, {"b": []}, {"b": [None, 3], "c": "x"}]}
     c = shred_record(r)
