@@ -91,15 +91,16 @@ def classified(docs: DataFrame, text: str, source: str) -> DataFrame:
 
     Null, empty and blank texts are null (they hold no residue). Repeated rows
     keep their place; a column called residue is replaced. Whole texts are looked at whatever their length. Two
-    passes: counting the masked hashes of texts with a loose cue (one row per
-    distinct masked text is shuffled, combined before), and the rules. Hashes
+    passes: counting the masked hashes of all texts that aren't blank (hash, count
+    and least and greatest source are shuffled, combined before), and the rules;
+    of a text that recurs widely, a loose cue or one unit of a message is enough. Hashes
     that recur widely are broadcast if a count proves them few; only then
     no text is shuffled.
     """
     t = F.btrim(plain(F.col(text)), F.lit(" \t\n\r\f\v"))
     out = docs.withColumn("__t", t)
-    loose = out.where(F.col("__t").rlike(_bare(LOOSE))).groupBy(F.xxhash64(masked(F.col("__t"))).alias("__w")).agg(F.count(F.lit(1)).alias("__n"), F.min(source).alias("__a"), F.max(source).alias("__b"))
-    wide = held(loose.where((F.col("__n") >= WIDE_TEXTS) & (F.col("__a") != F.col("__b"))).select("__w"))
+    every = out.where(F.col("__t") != "").groupBy(F.xxhash64(masked(F.col("__t"))).alias("__w")).agg(F.count(F.lit(1)).alias("__n"), F.min(source).alias("__a"), F.max(source).alias("__b"))
+    wide = held(every.where((F.col("__n") >= WIDE_TEXTS) & (F.col("__a") != F.col("__b"))).select("__w"))
     # Each costly look is behind a cheap one that no text of its class can fail.
     may_hold = F.col("__t").rlike(r"[{<\[]|%%|@@|__")
     bare = F.when(may_hold, F.regexp_replace(F.regexp_replace(F.regexp_replace("__t", r"```[\s\S]*?(?:```|$)", " § "), r"`[^`\n]*`", " § "), r"\"[^\"\n]*\"", " § "))
@@ -115,15 +116,16 @@ def classified(docs: DataFrame, text: str, source: str) -> DataFrame:
     may_fill = (F.size(F.array_distinct("__rough")) <= 30) | F.arrays_overlap("__rough", F.array(*[F.lit(w) for w in LATIN if len(w) > 4]))
     words = F.when(may_fill, F.filter(F.split(F.lower("__t"), r"[^\p{L}]+"), lambda x: x != ""))
     latin = F.array(*[F.lit(w) for w in LATIN])
-    out = out.withColumn("__rough", rough).withColumns({"__bare": bare, "__l": lines, "__u": units, "__words": words, "__m": F.when(F.col("__t").rlike(_bare(LOOSE)), F.xxhash64(masked(F.col("__t"))))})
+    out = out.withColumn("__rough", rough).withColumns({"__bare": bare, "__l": lines, "__u": units, "__words": words, "__m": F.when(F.col("__t") != "", F.xxhash64(masked(F.col("__t"))))})
     n, distinct = F.size("__words"), F.size(F.array_distinct("__words"))
     filler = F.coalesce(F.col("__t").rlike(FILLER_TEXT) | ((n >= 6) & (distinct <= 6) & (n >= 2 * distinct)) | ((n >= 5) & (F.size(F.filter("__words", lambda w: F.array_contains(latin, w))) >= 0.8 * n)), F.lit(False))
     message = F.coalesce(F.forall("__u", lambda x: (x == "") | x.rlike(_bare(MESSAGE_UNIT))) & F.exists("__u", lambda x: x.rlike(_bare(CORE_UNIT))), F.lit(False))
+    core = F.coalesce(F.exists("__u", lambda x: x.rlike(_bare(CORE_UNIT))), F.lit(False))
     script = F.exists("__u", lambda x: x.rlike(_bare(rf"(?iu)^(?:forge · )?{SCRIPT_UNIT}")))
     out = out.join(wide, F.col("__m") == F.col("__w"), "left")
     kind = (
         F.when(F.coalesce(F.col("__t"), F.lit("")) == "", None).when(F.col("__bare").rlike(PLACEHOLDER), "placeholder").when(form, "form").when(filler, "filler")
-        .when(message & script, "script_notice").when(message, "error_page").when(F.col("__w").isNotNull(), "recurring")
+        .when(message & script, "script_notice").when(message, "error_page").when(F.col("__w").isNotNull() & (F.col("__t").rlike(_bare(LOOSE)) | core), "recurring")
     )
     return out.withColumn("residue", kind).drop("__t", "__m", "__w", "__bare", "__l", "__u", "__words", "__rough")
 

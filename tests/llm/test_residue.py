@@ -34,3 +34,13 @@ def test_messages(spark):
     df = spark.createDataFrame([(1, "Error 404: Not Found", "a"), (2, "error  500: internal server error", "b"), (3, "Error 404: Not Found", "b"), (4, "fine", "a"), (5, "Error 404: Not Found", None)], "id int, text string, source string")
     got = {r.message: (r.n_texts, r.n_sources) for r in residue.messages(df, "text", "source").collect()}
     assert got == {"error 0: not found": (3, 2), "error 0: internal server error": (1, 1)}
+
+
+def test_a_recurring_message_needs_one_known_unit(spark):
+    """All texts are counted, not only those with a loose cue; rare ones still need every unit to be known."""
+    from forgelake.llm.residue import classified
+
+    rows = [(i, f"Gateway timeout while reading the list. Node pool {i} was drained by hand.", "ab"[i % 2]) for i in range(6)] + [(9, "Gateway timeout while reading the list. We saw it twice.", "a")]
+    rows += [(20 + i, f"Bump the parser to {i}.", "ab"[i % 2]) for i in range(6)]
+    got = {r.id: r.residue for r in classified(spark.createDataFrame(rows, "id int, text string, source string"), "text", "source").collect()}
+    assert got == {**{i: "recurring" for i in range(6)}, 9: None, **{20 + i: None for i in range(6)}}
