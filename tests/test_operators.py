@@ -5,14 +5,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from forgelake.operators import lookup, metrics, ordered, relational, state
-from forgelake.operators.tree_aggregate import heavy_keys, tree_aggregate
+from forgelake.operators.tree_aggregate import heavy_keys, rounds_of, tree_aggregate
 
 
 def test_tree_aggregate(spark, rows):
     rng = random.Random(1)
     data = [(rng.choice(["a", "a", "a", "b", None]), rng.choice([None, 1, 2, 3])) for _ in range(5000)]
     df = spark.createDataFrame(data, "k string, v bigint").repartition(7)
-    t = tree_aggregate(df, ["k"], {"n": ("count", F.lit(1)), "s": ("sum", F.col("v")), "hi": ("max", F.col("v")), "nn": ("count", F.col("v"))}, fan_in=3, rounds=3, chunk_rows=64)
+    t = tree_aggregate(df, ["k"], {"n": ("count", F.lit(1)), "s": ("sum", F.col("v")), "hi": ("max", F.col("v")), "nn": ("count", F.col("v"))}, fan_in=3, chunk_rows=64)
     assert rows(t) == rows(df.groupBy("k").agg(F.count(F.lit(1)), F.sum("v"), F.max("v"), F.count("v")))
     assert tree_aggregate(df.limit(0), ["k"], {"n": ("count", F.lit(1))}).count() == 0
     assert rows(heavy_keys(t.select("k", "n"), ["k"], "n", 0.5).select("k")) == [("a",)]
@@ -20,6 +20,19 @@ def test_tree_aggregate(spark, rows):
         tree_aggregate(df, ["k"], {}, fan_in=1)
 
 
+@pytest.mark.parametrize("fan_in, chunk_rows", [(2, 4), (3, 16), (16, 8)])
+def test_no_merge_reads_more_than_fan_in_states(spark, rows, fan_in, chunk_rows):
+    # Two thirds of the rows have one key; there are more chunks than fan_in ** 2.
+    df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, F.col("id") % 97).alias("k")).repartition(5)
+    t = tree_aggregate(df, ["k"], {"n": ("count", F.lit(1))}, fan_in=fan_in, chunk_rows=chunk_rows, widest="w")
+    assert rows(t.drop("w")) == rows(df.groupBy("k").count())
+    assert 1 < t.agg(F.max("w")).first()[0] <= fan_in
+
+
+def test_rounds_grow_with_the_logarithm():
+    assert [rounds_of(n, 16) for n in (0, 1, 2, 16, 17, 256, 257, 4096, 1_000_000)] == [0, 0, 1, 1, 2, 2, 3, 3, 5]
+
+
 def history(spark, n=600, keys=3):
     rng = random.Random(2)
     t0 = datetime(2024, 1, 1)
