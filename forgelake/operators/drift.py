@@ -50,9 +50,16 @@ def path_values(records: DataFrame, keep: Sequence[str], parents: Sequence[str])
     return top.unionByName(below.select(*keep, F.concat_ws(".", "path", "k").alias("path"), "value"))
 
 
+def is_broken_number(v: Column) -> Column:
+    """Whether a variant is a number that a bigint can't hold whole."""
+    s = F.schema_of_variant(v)
+    return s.rlike("^(DOUBLE|FLOAT)") | (s.startswith("DECIMAL") & F.coalesce(F.try_variant_get(v, "$", "decimal(38,18)") != F.try_variant_get(v, "$", "bigint"), F.lit(True)))
+
+
 def path_stats(lines: DataFrame, file: str, raw: str, parents: Sequence[str]) -> DataFrame:
-    """file, path, kind, n: how many values of each raw kind each file has at each path."""
-    return path_values(parsed(lines, raw), [file], parents).select(file, "path", raw_kind(F.col("value")).alias("kind")).groupBy(file, "path", "kind").agg(F.count(F.lit(1)).alias("n"))
+    """file, path, kind, n, n_broken: how many values of each raw kind each file has at each path, and how many of them are numbers that aren't whole."""
+    values = path_values(parsed(lines, raw), [file], parents).select(file, "path", raw_kind(F.col("value")).alias("kind"), is_broken_number(F.col("value")).alias("broken"))
+    return values.groupBy(file, "path", "kind").agg(F.count(F.lit(1)).alias("n"), F.count_if("broken").alias("n_broken"))
 
 
 def changes(stats: DataFrame, files: DataFrame, file: str, series: str, written_at: str) -> DataFrame:
@@ -91,10 +98,11 @@ def layout_plan(stats: DataFrame, changed: DataFrame) -> list[dict]:
     """The columns of the common table: path, its aliases and the type to read it with.
 
     Paths tied by renames share one column, named after the path most values
-    have; its type is that of the most frequent kind. At most MAX_PATHS rows, one per path and kind, come
-    to the driver: they describe layouts, not data.
+    have; its type is that of the most frequent kind, numbers being bigint
+    where all are whole, else double. At most MAX_PATHS rows, one per path and
+    kind, come to the driver: they describe layouts, not data.
     """
-    seen = stats.groupBy("path", "kind").agg(F.sum("n").alias("n")).limit(MAX_PATHS + 1).collect()
+    seen = stats.groupBy("path", "kind").agg(F.sum("n").alias("n"), F.sum("n_broken").alias("n_broken")).limit(MAX_PATHS + 1).collect()
     tied = changed.where("change_kind = 'renamed'").select("old_path", "new_path").distinct().limit(MAX_PATHS + 1).collect()
     if max(len(seen), len(tied)) > MAX_PATHS:
         raise LayoutError(f"more than {MAX_PATHS} paths: not a drifting schema but keys that hold data")
@@ -110,14 +118,15 @@ def layout_plan(stats: DataFrame, changed: DataFrame) -> list[dict]:
         if a != b:
             root[max(a, b)] = min(a, b)
     groups: dict[str, dict] = {}
-    for path, kind, n in seen:
-        g = groups.setdefault(find(path), {"paths": {}, "kinds": {}})
+    for path, kind, n, broken in seen:
+        g = groups.setdefault(find(path), {"paths": {}, "kinds": {}, "broken": 0})
+        g["broken"] += broken
         g["paths"][path] = g["paths"].get(path, 0) + n
         if kind:
             g["kinds"][kind] = g["kinds"].get(kind, 0) + n
-    types = {"number": "bigint", "boolean": "boolean", "string": "string"}
     out = []
     for g in groups.values():
+        types = {"number": "double" if g["broken"] else "bigint", "boolean": "boolean", "string": "string"}
         names = sorted(g["paths"], key=lambda p: (-g["paths"][p], p))
         kind = min(g["kinds"], key=lambda k: (-g["kinds"][k], k)) if g["kinds"] else "string"
         out.append({"path": names[0], "aliases": names, "kind": kind, "type": types.get(kind, "array<string>" if kind == "array<string>" else "string")})
@@ -127,9 +136,11 @@ def layout_plan(stats: DataFrame, changed: DataFrame) -> list[dict]:
 def typed_table(lines: DataFrame, keep: Sequence[str], raw: str, plan: list[dict]) -> DataFrame:
     """keep..., one typed column per entry of plan (dots become __), and failed_casts.
 
-    failed_casts lists the paths whose value is there but doesn't fit the
-    column's type; the column is null then. Objects and arrays of anything but
-    strings keep their JSON text. A column whose name clashes with one of keep
+    failed_casts lists the paths whose value is there but can't be read as the
+    column's type without loss; the column is null then. Numbers and texts of
+    numbers fit number columns as far as they are equal there (1.5 is no
+    bigint, and neither is true), booleans and their texts boolean columns.
+    Objects and arrays of anything but strings keep their JSON text. A column whose name clashes with one of keep
     gets `_` put behind it.
     """
     return _typed(parsed(lines, raw).where("record is not null"), keep, plan)
@@ -151,6 +162,22 @@ def typed_items(lines: DataFrame, keep: Sequence[str], raw: str, parent: str, po
     return _typed(rows, [*keep, pos], below, F.when(odd, F.lit(parent)))
 
 
+def _read(x: Column, to: str) -> Column:
+    """The variant read as bigint, double, boolean or array<string>; null where that loses anything."""
+    s, text = F.schema_of_variant(x), F.btrim(F.try_variant_get(x, "$", "string"))
+    exact = text.try_cast("decimal(38,18)")
+    if to == "bigint":
+        whole = F.coalesce(text.try_cast("bigint"), F.when(exact == F.floor(exact), exact).try_cast("bigint"), F.when(text.try_cast("double") == F.floor(text.try_cast("double")), text.try_cast("double").try_cast("decimal(38,0)")).try_cast("bigint"))
+        return F.when((s != "BOOLEAN") & (exact.isNull() | (exact == whole)), whole)
+    if to == "double":
+        near = text.try_cast("double")
+        whole = text.try_cast("decimal(38,0)")
+        return F.when((s != "BOOLEAN") & ~F.isnan(near) & (~text.rlike(r"^[+-]?\d+$") | (near.try_cast("decimal(38,0)") == whole)), near)
+    if to == "boolean":
+        return F.when((s == "BOOLEAN") | F.lower(text).isin("true", "false"), text.try_cast("boolean"))
+    return F.when(s.startswith("ARRAY"), F.try_variant_get(x, "$", to))
+
+
 def _typed(records: DataFrame, keep: Sequence[str], plan: list[dict], *failed: Column) -> DataFrame:
     taken, held, columns, fails = set(keep), [f.alias(f"__f{i}") for i, f in enumerate(failed)], [], [F.col(f"__f{i}") for i in range(len(failed))]
     for i, c in enumerate(plan):
@@ -162,7 +189,7 @@ def _typed(records: DataFrame, keep: Sequence[str], plan: list[dict], *failed: C
         held.append(found.alias(f"__x{i}"))
         x = F.col(f"__x{i}")
         text = F.coalesce(F.try_variant_get(x, "$", "string"), F.to_json(x))
-        value = text if c["type"] == "string" else F.try_variant_get(x, "$", c["type"])
+        value = text if c["type"] == "string" else _read(x, c["type"])
         there = x.isNotNull() & ~F.is_variant_null(x)
         columns.append(F.when(there, value).alias(name))
         fails.append(F.when(there & value.isNull(), F.lit(c["path"])))

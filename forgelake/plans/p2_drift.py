@@ -25,7 +25,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_path_stats(spark: SparkSession, d: str) -> DataFrame:
     """How many values of each raw kind each file has at each path ('' for nulls and empty arrays)."""
-    return stats_of(spark, d).withColumn("kind", F.coalesce("kind", F.lit("")))
+    return stats_of(spark, d).withColumn("kind", F.coalesce("kind", F.lit(""))).drop("n_broken")
 
 
 def layout(spark: SparkSession, d: str) -> list[dict]:

@@ -53,6 +53,19 @@ def test_typed_table(spark):
     assert sorted((r[name] or -1, tuple(r.failed_casts)) for r in got.collect()) == [(-1, ()), (-1, (name,)), (5, ()), (7, ()), (8, ())]
 
 
+def test_no_lossy_read(spark):
+    values = [1, 1.5, "1.5", "2", True, "abc", "true", None, 9007199254740993, 1e3, [], {"x": 1}, 3.0, " 4 ", 10**30]
+    ls = lines(spark, *[(i, {"v": v}) for i, v in enumerate(values)])
+    read = lambda t: {r.f: (r.v, bool(r.failed_casts)) for r in drift.typed_table(ls, ["f"], "raw", [{"path": "v", "aliases": ["v"], "type": t}]).collect()}
+    failed = (None, True)
+    assert list(read("bigint").values()) == [(1, False), failed, failed, (2, False), failed, failed, failed, (None, False), (9007199254740993, False), (1000, False), failed, failed, (3, False), (4, False), failed]
+    assert list(read("double").values()) == [(1.0, False), (1.5, False), (1.5, False), (2.0, False), failed, failed, failed, (None, False), failed, (1000.0, False), failed, failed, (3.0, False), (4.0, False), (1e30, False)]
+    assert [v for v in read("boolean").values() if v != failed] == [(True, False), (True, False), (None, False)]
+    for number, want in ((2.5, "double"), (2, "bigint"), (2.0, "bigint"), (10**25, "double")):
+        stats = drift.path_stats(lines(spark, (1, {"v": 1}), (1, {"v": number})), "f", "raw", [])
+        assert drift.layout_plan(stats, spark.createDataFrame([], "change_kind string, old_path string, new_path string"))[0]["type"] == want
+
+
 def test_pull_requests_in_one_layout(spark, tmp_path):
     from datetime import datetime
 
