@@ -2,23 +2,44 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgelake.operators.shredding import rebuild, shred
+from forgelake.operators.shredding import array_shapes, rebuild, shred
+from forgelake.session import written
 from forgelake.sources.tables import table
 
-_PULLS = r"(?i:[^.\[\]]*(?:pull|merge_?req|\bprs?\b)[^.\[\]]*)\[\]"
-_COMMENTS = r"(?i:[^.\[\]]*(?:comment|discussion|repl(?:y|ies))[^.\[\]]*)\[\]"
-_ISSUES = r"(?i:[^.\[\]]*(?:issue|ticket)[^.\[\]]*)\[\]"
+#: Share of an array's items that must have a shape.
+MOST = 0.5
+
+
+def arrays_by_shape(shapes: dict[str, dict[str, int]]) -> dict[str, str]:
+    """kind -> pattern of the array paths of that kind, told by the shapes of their items over all records, whatever their keys are called.
+
+    Pull requests: objects with a number at the top of the record that hold
+    arrays or objects (any arrays of objects with a number, if none does).
+    Below them, related issues are numbers or objects with a number; comments,
+    below requests and issues, are objects with a text of several words and no
+    number, or mostly texts of several words. Lists of single words, such as tags
+    and commit ids, are none of these.
+    """
+    depth = lambda p: p.count("[]")
+    share = lambda s, *names: sum(s[n] for n in names) / max(1, sum(s[n] for n in ("objects", "numbers", "prose", "words", "others")))
+    numbered = {p for p, s in shapes.items() if s["objects"] and s["with_number"] >= MOST * s["objects"]}
+    top = {p for p in numbered if depth(p) == 1 and share(shapes[p], "objects") >= MOST}
+    pulls = {p for p in top if shapes[p]["with_below"]} or top
+    below = lambda tops: {p for p in shapes if any(p.startswith(t + ".") and depth(p) == depth(t) + 1 for t in tops)}
+    issues = {p for p in below(pulls) if share(shapes[p], "numbers", "objects") >= MOST and (p in numbered or shapes[p]["numbers"] and not shapes[p]["objects"])}
+
+    def comment(p: str) -> bool:
+        s = shapes[p]
+        return p not in issues and p not in numbered and ((s["objects"] and s["with_prose"] >= MOST * s["objects"]) or share(s, "prose") >= MOST)
 
-#: The arrays of a crawled repository, whatever the file calls their keys.
-ARRAYS = {"pull_request": _PULLS, "pr_comment": rf"{_PULLS}\.{_COMMENTS}", "related_issue": rf"{_PULLS}\.{_ISSUES}", "issue_comment": rf"{_PULLS}\.{_ISSUES}\.{_COMMENTS}"}
+    kinds = {"pull_request": pulls, "pr_comment": {p for p in below(pulls) if comment(p)}, "related_issue": issues, "issue_comment": {p for p in below(issues) if comment(p)}}
+    return {k: "|".join(re.escape(p) for p in sorted(paths)) for k, paths in kinds.items() if paths}
 
-#: Paths that lead to those arrays; all other keys are pruned before shredding.
-_STEM = r"(?i:[^.\[\]]*(?:{})[^.\[\]]*)"
-_WAY = [_STEM.format(x) for x in ("pull|merge_?req|\\bprs?\\b", "comment|discussion|repl(?:y|ies)|issue|ticket", "comment|discussion|repl(?:y|ies)")]
-SKELETON = rf"{_WAY[0]}(?:\[\]\.{_WAY[1]}(?:\[\]\.{_WAY[2]})?)?$"
 
 _PR_FIELDS = {
     "number": ["number"], "title": ["title"], "state": ["state"], "author": ["author", "author.login"], "created_at": ["created_at"], "updated_at": ["updated_at", "modified_at"], "url": ["url"],
@@ -41,27 +62,44 @@ def _links(rows: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def _skeleton(spark: SparkSession, d: str) -> tuple[DataFrame, dict[str, str]]:
+    """The item columns of all arrays, written once, and the patterns of the arrays' paths by kind."""
+    shredded = written(shred(_lines(spark, d), ["line_id"], "raw_line", arrays_only=True), "p5-levels")
+    return shredded, arrays_by_shape(array_shapes(shredded))
+
+
+def _with_fields(spark: SparkSession, d: str, kinds: tuple[str, ...], fields: dict) -> DataFrame:
+    """Rows of the kinds with the leaves right below their items; only those are shredded, once the arrays are known."""
+    arrays = {k: p for k, p in _skeleton(spark, d)[1].items() if k in kinds}
+    ways = {p.replace("\\", "")[:-2] for k in arrays for p in arrays[k].split("|")}
+    steps = {re.escape(w[:i]) for w in ways for i in [*[m.start() for m in re.finditer(r"\[\]", w)], len(w)]}
+    leaf = "|".join(f"{re.escape(w + '[]')}\\.[^\\[\\]]*" for w in ways)
+    only = rf"(?:{'|'.join(sorted(steps))}|{leaf})$" if ways else r"(?!)"
+    return rebuild(shred(_lines(spark, d), ["line_id"], "raw_line", only), ["line_id"], arrays, fields)
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return _links(rebuild(shred(_lines(spark, d), ["line_id"], "raw_line", SKELETON), ["line_id"], ARRAYS)).distinct()
+    shredded, arrays = _skeleton(spark, d)
+    return _links(rebuild(shredded, ["line_id"], arrays)).distinct()
 
 
 def p5_pull_requests(spark: SparkSession, d: str) -> DataFrame:
     """One row per nested pull request; (line_id, pr_pos) is its key."""
-    rows = rebuild(shred(_lines(spark, d), ["line_id"], "raw_line", rf"{_WAY[0]}(?:\[\]\.[^\[\]]*)?$"), ["line_id"], {"pull_request": _PULLS}, _PR_FIELDS)
+    rows = _with_fields(spark, d, ("pull_request",), _PR_FIELDS)
     return _links(rows, *_PR_FIELDS).drop("child_kind", "issue_pos", "comment_pos").withColumn("number", F.col("number").try_cast("bigint"))
 
 
 def p5_issues(spark: SparkSession, d: str) -> DataFrame:
     """One row per related issue; (line_id, pr_pos) is its parent; an item that is only a number has no other field."""
     fields = {f: [f] for f in ("number", "title", "state", "author", "created_at", "updated_at", "url")}
-    rows = rebuild(shred(_lines(spark, d), ["line_id"], "raw_line", rf"{_WAY[0]}(?:\[\]\.{_STEM.format('issue|ticket')}(?:\[\]\.[^\[\]]*)?)?$"), ["line_id"], {"related_issue": ARRAYS["related_issue"]}, fields)
+    rows = _with_fields(spark, d, ("related_issue",), fields)
     return _links(rows, "item", *fields).select("line_id", "pr_pos", "issue_pos", F.coalesce("number", "item").try_cast("bigint").alias("number"), "title", "state", "author", "created_at", "updated_at", "url")
 
 
 def p5_comments(spark: SparkSession, d: str) -> DataFrame:
     """One row per comment of a pull request or issue, with the positions of its parents; a bare text is its content."""
     fields = {"author": ["author"], "posted_at": ["timestamp"], "content": ["content"]}
-    rows = rebuild(shred(_lines(spark, d), ["line_id"], "raw_line", SKELETON[:-1] + r"(?:\[\]\.[^\[\]]*)?$"), ["line_id"], {k: ARRAYS[k] for k in ("pr_comment", "issue_comment")}, fields)
+    rows = _with_fields(spark, d, ("pr_comment", "issue_comment"), fields)
     return _links(rows, "author", "posted_at", F.coalesce("content", "item").alias("content"))
 
 

@@ -1,10 +1,13 @@
 import json
 
+import numpy as np
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from forgelake.operators import drift
-from forgelake.operators.shredding import positions, rebuild, shred, shred_record
+from forgelake.operators.shredding import _places, array_shapes, deep_loads, positions, rebuild, shred, shred_record
+from forgelake.plans.p5_nested import arrays_by_shape
 
 
 def lines(spark, *records):
@@ -84,7 +87,7 @@ def test_pull_requests_in_one_layout(spark, tmp_path):
 
 def test_levels_of_a_known_record():
     r = {"a": [{"b": [1, 2]}, {}, {"b": []}, {"b": [None, 3], "c": "x"}]}
-    c = shred_record(r)
+    c, _ = shred_record(r)
     assert c["a[].b[]"][1:] == ([0, 2, 1, 1, 1, 2], [6, 6, 3, 4, 5, 6], ["1", "2", None, None, None, "3"])
     assert c["a[].c"][1:] == ([0, 1, 1, 1], [3, 3, 3, 4], [None, None, None, "x"])
     assert list(positions(c["a[].b[]"][1], 2)) == [(0, 0), (0, 1), (1, 0), (2, 0), (3, 0), (3, 1)]
@@ -111,12 +114,52 @@ def test_positions_of_any_record(record):
     want: list = []
     walk(record, "", (), want)
     got = []
-    for path, (entry, reps, defs, _) in shred_record(record).items():
+    for path, (entry, reps, defs, _) in shred_record(record)[0].items():
         if path.endswith("[]"):
             got += [(path, p) for p, d in zip(positions(reps, path.count("[]")), defs) if d >= entry]
     assert sorted(got) == sorted(want)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.recursive(leaf, lambda x: st.one_of(st.lists(x, max_size=3), st.dictionaries(st.sampled_from("abc"), x, max_size=3)), max_leaves=20))
+def test_parser_without_recursion(value):
+    text = json.dumps(value)
+    assert deep_loads(text) == value and deep_loads(f" \n{text} ") == value
+    for broken in (text + "]", text + ",", "[" + text, text[:-1] + "}" if text.endswith("]") else text + "x", f"[{text},]", f'{{"a" {text}}}', f'{{"a": {text},}}'):
+        with pytest.raises(ValueError):
+            deep_loads(broken)
+
+
+def test_any_depth(spark):
+    deep = "[" * 60_000 + "]" * 60_000
+    assert len(deep_loads(deep, 3)[0][0][0]) == len(deep) - 6
+    df = spark.createDataFrame([(1, f'{{"prs": [{{"number": 1, "x": {deep}}}, 2]}}'), (2, f'{{"prs": {deep[:-1]}}}')], "line bigint, raw string")
+    got = rebuild(shred(df, ["line"], "raw", arrays_only=True), ["line"], {"pr": r"prs\[\]"})
+    assert sorted((r.line, r.pos[0], r.item) for r in got.collect()) == [(1, 0, None), (1, 1, "2")]
+
+
+def test_places_of_many_records():
+    r = [[0, 1, 2, 2, 1, 2], [0], [0, 2, 1], [0, 1, 1, 2]]
+    want = [p for x in r for p in positions(x, 2)]
+    assert [tuple(map(int, p)) for p in _places(np.array(sum(r, [])), 2)] == want
+    assert _places(np.array([], dtype=int), 2).shape == (0, 2)
+
+
+def test_arrays_by_shape_whatever_their_keys(spark, rows):
+    record = {
+        "url": "u", "langs": ["Go", "C++"], "changes": [{"sha": "ab12"}], "mrs": [
+            {"number": 7, "title": "Fix it now", "labels": ["bug"], "notes": [{"by": "a", "said": "looks good to me"}, "please have a look"], "links": [3, {"iid": 4, "title": "a b", "replies": [{"text": "me too, really"}], "marks": ["x"]}]},
+            {"number": 8, "title": "Other", "notes": None, "links": []},
+        ],
+    }
+    df = spark.createDataFrame([(1, json.dumps(record)), (2, "{}"), (3, None), (4, "{bad")], "line bigint, raw string")
+    shredded = shred(df, ["line"], "raw", arrays_only=True)
+    arrays = arrays_by_shape(array_shapes(shredded))
+    got = rows(rebuild(shredded, ["line"], arrays).select("kind", "pos"))
+    assert got == sorted([("pull_request", [0]), ("pull_request", [1]), ("pr_comment", [0, 0]), ("pr_comment", [0, 1]), ("related_issue", [0, 0]), ("related_issue", [0, 1]), ("issue_comment", [0, 1, 0])], key=repr)
+    assert arrays_by_shape({}) == {} and rebuild(shredded, ["line"], {}).count() == 0
+
+
 def test_rebuild(spark, rows):
     data = [(1, '{"prs": [{"n": 1, "notes": ["a", {"t": "b"}]}, {"n": 2}], "x": {"deep": [1]}}'), (2, "{}"), (3, None), (4, "{bad"), (5, '{"prs": []}'), (1, '{"prs": [{"n": 1}]}'), (6, '{"prs": ' + "[" * 2000 + "]" * 2000 + "}")]
     df = spark.createDataFrame(data, "kind bigint, raw string").withColumnRenamed("kind", "line")
