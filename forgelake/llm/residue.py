@@ -1,10 +1,17 @@
 """Template residue, filler, error pages and script notices instead of content.
 
-Texts are masked (numbers, addresses, dates, ids), and exact hashes of the
-masked texts are counted over all sources. Phrase and placeholder rules then
-classify each text: strict rules know a text whole, line by line; loose cues
-only count for messages that recur widely, in several sources. Code and quoted
-text are no residue: a text that discusses such things is content.
+Texts are cut into units (lines, sentences, parts between bars and dots), units
+are masked (numbers, addresses, dates, ids, placeholders), and exact hashes of the
+masked units are counted over all texts and sources. Each widely recurring unit
+is classified once, by phrase and placeholder rules; a recurring unit that no
+rule knows belongs to a message if nearly all texts that hold it hold a known
+unit of one, too: so names of sites, buttons and closing remarks of error pages
+are learned, not listed. A text is residue if one of its units holds a
+placeholder, or if all of its units belong to messages, forms or filler. The
+words of filler are learned, as well: those that stand, nearly always, in texts
+with a word of the usual imitation Latin. What recurs nowhere is held against
+the same rules, but has to fit them as a whole. Code and quoted text are no
+residue: a text that discusses such things is content.
 """
 
 from __future__ import annotations
@@ -12,19 +19,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forgelake.operators.lookup import held
+from forgelake.operators.lookup import sized
+from forgelake.session import written
 
-#: A masked text recurs widely from so many texts on, in so many sources.
+#: A masked unit recurs widely from so many texts on, in so many sources (at least 2).
 WIDE_TEXTS, WIDE_SOURCES = 5, 2
 
+#: Share of a unit's texts that must hold a known unit of a message for it to be part of one; share of a word's texts with imitation Latin for it to be filler; share of a text's words that must be.
+PART_SHARE, FILLER_SHARE, FILLER_WORDS = 0.8, 0.5, 0.8
+
 # Names of what a template asks for, where brackets alone would not tell.
 _ASKED = "user|name|username|summary|title|project|reviewer|version|component|date|description|ticket|id|author|owner|company|product|email|url|branch|repo|repository|environment|team|customer|number|value|placeholder|topic|service"
 _NAME = r"[A-Za-z][A-Za-z0-9]*(?:[_. -][A-Za-z0-9]+)*"
-_ASKING = rf"(?:[A-Za-z][A-Za-z0-9]*(?:[_.][A-Za-z0-9]+)+|(?:{_ASKED})|(?:short|long|your|the|issue|release|user|ticket|project) (?:{_ASKED}))"
+_ASKING = rf"(?:[A-Za-z][A-Za-z0-9]*(?:[_.][A-Za-z0-9]+)+|(?:{_ASKED})|(?:short|long|your|the|first|last|full|issue|release|user|ticket|project|company) (?:{_ASKED}))"
 
 #: A placeholder where a value belongs, in any of the usual notations.
 PLACEHOLDER = "|".join([
-    rf"[$#]\{{\s*{_NAME}\s*\}}", rf"\{{\{{\s*{_NAME}\s*\}}\}}", rf"<<\s*{_NAME}\s*>>", rf"<%=?\s*{_NAME}\s*%>", rf"%%\s*{_NAME}\s*%%", rf"@@\s*{_NAME}\s*@@", rf"\[\[\s*{_NAME}\s*\]\]",
+    rf"[$#]\{{\s*{_NAME}\s*\}}", rf"\{{\{{\s*{_NAME}\s*\}}\}}", rf"<<\s*{_NAME}\s*>>", rf"<%=?\s*{_NAME}\s*%>", rf"%%\s*{_NAME}\s*%%", r"(?<![\w%])%[A-Z][A-Z_]{2,}%(?![\w%])", rf"@@\s*{_NAME}\s*@@", rf"\[\[\s*{_NAME}\s*\]\]",
     rf"(?<![\w$#{{])\{{\s*(?i:{_ASKING})\s*\}}(?!\}})", rf"(?<![\w\[\]!])\[\s*(?i:{_ASKING})\s*\](?![\](:\[])", rf"(?<![\w<])<\s*(?i:{_ASKING})\s*>(?!>)", rf"(?<!\w)__(?i:{_ASKING})__(?!\w)",
 ])
 
@@ -36,7 +47,7 @@ HEADING_LINE = r"^\s*#{1,6}\s+\S[^\n]*$|^\s*\*{1,2}[^*\n]{1,60}\*{1,2}:?\s*$|^\s
 # Reasons of error pages, in the languages of the corpus.
 _REASON = r"(?:not found|nicht gefunden|introuvable|no encontrad[ao]|bad request|unauthori[sz]ed|forbidden|method not allowed|request time-?out|gone|conflict|too many requests|internal server error|error interno del servidor|interner serverfehler|erreur interne(?: du serveur)?|bad gateway|service unavailable|gateway time-?out|i'm a teapot|unprocessable (?:entity|content))"
 ERROR_UNIT = r"(?:" + "|".join([
-    rf"(?:http[ /]?(?:1\.[01]|2)? ?|error |erreur |fehler |status |code )*[45]\d\d(?:\s*[-:–—.]?\s*\(?{_REASON}\)?)?(?:\s*[-–—:|]\s*{_REASON})?(?: \| codeharbor)?[.!]?(?: while [^\n.]{{1,80}}\.?)?",
+    rf"(?:http[ /]?(?:1\.[01]|2)? ?|error |erreur |fehler |status |code )*[45]\d\d(?:\s*[-:–—.]?\s*\(?{_REASON}\)?)?(?:\s*[-–—:|]\s*{_REASON})?[.!]?(?: while [^\n.]{{1,80}}\.?)?",
     r"error \d{3} - [^\n.]{3,80}\.?", r"erreur \d{3} ?: [^\n.]{3,80}\.?", r"fehler \d{3} ?[:-] [^\n.]{3,80}\.?", rf"{_REASON}(?:[.!]|: [^\n.]{{3,60}}\.?)?",
     r"the page you are looking for [^\n.]{3,60}\.", r"(?:this|the) (?:repository|page|project|thread|file|site) (?:has been|was|is|could not be|cannot be) [^\n.]{0,20}(?:disabled|removed|deleted|moved|blocked|shown|found|unavailable|private|loaded)[^\n.]{0,40}\.", r"die angeforderte seite [^\n.]{3,60}\.", r"cette page n'existe [^\n.]{0,30}\.", r"la página [^\n.]{0,40}no existe[^\n.]{0,20}\.",
     r"no se pudo cargar [^\n.]{3,40}\.", r"oops[!,.]?", r"whoops[^\n.]{0,60}[.!]", r"(?:oops[!,] )?something (?:broke|went wrong)[^\n.]{0,40}[.!]", r"your session has expired[^\n.]{0,60}\.", r"unexpected token [^\n]{1,5} at position \d+[^\n.]{0,60}\.?", r"access denied[.!]?", r"you do not have permission [^\n.]{3,60}\.", r"(?:checking|verifying) your browser [^\n.]{0,80}(?:\.{3}|[.…])?", r"gateway timeout while [^\n.]{3,60}\.", r"the server is down [^\n.]{3,80}\.", r"you have exceeded the limit [^\n.]{0,80}\.", r"(?:verify|prove|confirm) (?:that )?you are (?:a )?human[^\n.]{0,40}\.?", r"the server (?:encountered|returned) an? [^\n.]{0,40}error[^\n.]{0,40}\.", r"proxy error[.!]?", r"(?:this )?request (?:was |has been )?(?:blocked|timed out)[^\n.]{0,40}\.?", r"upstream (?:connect error|request timeout)[^\n]{0,60}", r"loading thread(?:\.{3}|…)?", r"der server [^\n.]{0,60}(?:fehler|nicht erreichbar)[^\n.]{0,30}\.",
@@ -45,21 +56,22 @@ SCRIPT_UNIT = r"(?:" + "|".join([
     r"(?:you need|you must have) (?:scripts|javascript)[^\n.]{0,60}\.", r"(?:this|the|our)? ?[\w -]{0,40}(?:requires?|needs) (?:javascript|scripts|client-side scripts)[^\n.]{0,60}\.", r"[\w -]{1,40} relies on (?:javascript|scripts|client-side scripts)[^\n.]{0,60}\.", r"your browser blocks (?:scripts|javascript)[^\n.]{0,60}\.", r"(?:(?:this|the) )?[\w -]{1,40}(?:does not|will not|cannot|can't|won't) (?:work|run|load|be shown) without (?:javascript|scripts|client-side scripts)[^\n.]{0,60}\.", r"javascript (?:is|must be|has been|seems to be|appears to be) (?:disabled|enabled|turned off|off|required)[^\n.]{0,60}\.", r"some parts of [\w -]{1,40} will not load\.", r"(?:please )?(?:enable|allow|activate|turn on) (?:javascript|scripts|scripting)[^\n.]{0,60}\.?", r"noscript: [^\n]{3,60}", r"loading(?:\.{3}|…)? if nothing happens[^\n.]{0,60}\.", r"if nothing happens[^\n.]{0,60}\.", r"loading(?:\.{3}|…)", r"bitte aktivieren sie javascript[^\n.]{0,60}\.", r"veuillez activer javascript[^\n.]{0,60}\.", r"es necesario habilitar javascript[^\n.]{0,60}\.", r"(?:por favor,? )?(?:active|habilite) javascript[^\n.]{0,60}\.", r"javascript (?:est|ist|está) [^\n.]{3,60}\.", r"your browser (?:has|does not)[^\n.]{0,30}(?:javascript|scripts)[^\n.]{0,60}\.",
 ]) + ")"
 TAIL_UNIT = r"(?:" + "|".join([
-    r"go back", r"back to home", r"status page", r"retry", r"home", r"(?:please )?(?:try|check) [^\n.]{0,40}(?:again|later|retry)[^\n.]{0,30}\.?", r"contact support[^\n.]{0,40}\.", r"if you think this is a mistake[^\n.]{0,60}\.", r"(?:request|incident|error|trace|reference)(?: id| code| number)?:? #?[0-9a-f]{4,40}\.?", r"ray(?: id)?:? [0-9a-f]{6,20}", r"node [\w.-]+(?:, trace [0-9a-f]+)?", r"(?:proxy|nginx|apache|server|gateway|edge)/[\d.]+", r"réessayez [^\n.]{0,40}\.", r"vuelva a intentarlo[^\n.]{0,40}\.", r"(?:bitte )?versuchen sie es [^\n.]{0,40}\.", r"this may take \d+ \w+\.", r"the address may be wrong\.", r"bitte (?:spater|später) erneut versuchen\.", r"(?:our|the) team has been (?:told|notified|informed)[^\n.]{0,30}\.", r"the (?:thread|page|file|project|repository) may have been [^\n.]{3,60}\.", r"please (?:reload|refresh) [^\n.]{0,40}\.", r"codeharbor", r"forge",
+    r"go back", r"back to home", r"status page", r"retry", r"home", r"(?:please )?(?:try|check) [^\n.]{0,40}(?:again|later|retry)[^\n.]{0,30}\.?", r"contact support[^\n.]{0,40}\.", r"if you think this is a mistake[^\n.]{0,60}\.", r"(?:request|incident|error|trace|reference)(?: id| code| number)?:? #?[0-9a-f]{4,40}\.?", r"ray(?: id)?:? [0-9a-f]{6,20}", r"node [\w.-]+(?:, trace [0-9a-f]+)?", r"(?:proxy|nginx|apache|server|gateway|edge)/[\d.]+", r"réessayez [^\n.]{0,40}\.", r"vuelva a intentarlo[^\n.]{0,40}\.", r"(?:bitte )?versuchen sie es [^\n.]{0,40}\.", r"this may take \d+ \w+\.", r"the address may be wrong\.", r"bitte (?:spater|später) erneut versuchen\.", r"(?:our|the) team has been (?:told|notified|informed)[^\n.]{0,30}\.", r"the (?:thread|page|file|project|repository) may have been [^\n.]{3,60}\.", r"please (?:reload|refresh) [^\n.]{0,40}\.",
 ]) + ")"
 
 _ANY = f"(?:{ERROR_UNIT}|{SCRIPT_UNIT}|{TAIL_UNIT})"
-MESSAGE_UNIT = rf"(?iu)^(?:forge · )?{_ANY}(?:\s+{_ANY})*(?:\s*[–—|·-]\s*(?:codeharbor|forge))?$"
-CORE_UNIT = rf"(?iu)^(?:forge · )?(?:{ERROR_UNIT}|{SCRIPT_UNIT})"
-
-#: What a blank of the patterns may be before white space is collapsed.
-BLANKS = r"\s+"
+MESSAGE_UNIT = rf"(?iu)^{_ANY}(?:\s+{_ANY})*$"
+CORE_UNIT = rf"(?iu)^(?:{ERROR_UNIT}|{SCRIPT_UNIT})"
 
-#: Cues that make a widely recurring short message residue though no rule knows it whole.
-LOOSE = r"(?iu)^(?:please (?:enable|wait|log in|sign in)|you (?:need|must)|this (?:page|site|app|thread|repository) |loading|your (?:session|browser)|checking|error|oops|sorry|the (?:page|server|request|site) )[^#`]{0,200}(?:javascript|scripts?|browser|server|error|expired|denied|not found|unavailable|maintenance|disabled|again)\b[^#`]{0,120}$"
+#: Cues that make a widely recurring unit of a few words a message though no rule knows it whole.
+LOOSE = "|".join([
+    r"(?iu)^(?![^#`]{0,200}\b(?:reports?|gets?|shows?|throws?|sees?|hides?|logs?|returns?|retries|raises?|we|i)\b)(?:please (?:enable|wait|log in|sign in)|you (?:need|must)|this (?:page|site|app|thread|repository|video|image|content|file|item|product|feature) |(?:loading|redirecting|checking|error|oops|sorry)[ ,.:!…]|your (?:session|browser|request) |the (?:page|server|request|requested|site|url) )[^#`]{0,200}(?:javascript|scripts?|browser|server|error|expired|denied|not found|(?:un|not |no longer )available|maintenance|disabled|again|redirected)\b[^#`]{0,120}$",
+    r"(?iu)^(?:just a moment|one moment(?:,? please)?|please wait|please stand by|hang on|loading|redirecting|coming soon|under construction|(?:page|file|content|video|image) (?:not found|unavailable|not available)|(?:click|tap) (?:here|to) (?:to )?(?:edit|add|change|replace|enter) [^#`\n]{1,60}|(?:add|edit|enter|insert|write|type|replace) (?:your|this|the|some) (?:own )?(?:text|title|content|heading|description|name|tagline|message)[^#`\n]{0,40}|that[’']s an error|an error (?:has )?occurred[^#`\n]{0,60}|we are sorry[^#`\n]{0,80}|we[’']re sorry[^#`\n]{0,80}|cookies (?:must be|are) (?:enabled|disabled|required)[^#`\n]{0,60}|untitled(?: document| page)?|(?:this is (?:a |an )?)?(?:sample|example|default|placeholder) (?:page|post|text|title|content))\s*(?:\.{1,3}|…|!)?$",
+])
 
 # Words of imitation Latin.
-LATIN = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum vestum quiam labor tinque ornare erat sedum nexit fuscit nullam varum ligula porta moras pretor alque".split()
+LATIN = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum".split()
+SEEDS = ("lorem", "ipsum", "consectetur", "adipiscing", "eiusmod", "incididunt", "aliqua", "ullamco", "aliquip", "excepteur", "cupidatat")
 FILLER_TEXT = r"(?iu)^(?:(?:this is (?:a )?(?:dummy|filler|sample|placeholder|example) text|sample paragraph[^.\n]{0,40}|(?:dummy|filler|placeholder) text(?: here)?|text text text[^.\n]{0,30}|lorem ipsum[^\n]*)[.!]?\s*)+$"
 
 
@@ -86,48 +98,121 @@ def masked(text: Column) -> Column:
     return F.trim(m)
 
 
+#: Where a text is cut into units.
+CUTS = r"[\r\n]+|(?<=[.!?…])\s+(?=[\p{Lu}\d–—~§(\[])|\s+[–—|·]\s+|^[–—|·]\s+"
+
+
+def _one(x: Column) -> Column:
+    return F.trim(F.regexp_replace(F.regexp_replace(x, r"\s+", " "), r"^[–—|·] ", ""))
+
+
+def _of_texts(docs: DataFrame, text: str, source: str) -> DataFrame:
+    """docs with __t (trimmed), __h (its hash, null for blank), __bare (without code, quotes and what placeholders hold), __units (h: hash of the masked unit, u) and the different __hashes; __row tells rows apart within one pass."""
+    t = F.btrim(plain(F.col(text)), F.lit(" \t\n\r\f\v"))
+    out = docs.withColumn("__t", F.when(t != "", t)).withColumn("__h", F.xxhash64("__t"))
+    may_hold = F.col("__t").rlike(r"[{<\[]|%|@@|__|`|\"")
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace("__t", r"```[\s\S]*?(?:```|$)", " § "), r"`[^`\n]*`", " § "), r"\"[^\"\n]*\"", " § ")
+    bare = F.when(F.col("__t").isNull() | ~may_hold, F.col("__t")).otherwise(F.regexp_replace(F.regexp_replace(bare, r"<!--[\s\S]*?-->", "\n§form§\n"), PLACEHOLDER, " ~v "))
+    bare = F.when(F.col("__t").contains("\n-"), F.regexp_replace(bare, r"(?m)^[^\n]{1,60}\r?\n-{3,}\s*$", "---")).otherwise(bare)
+    out = out.withColumn("__bare", bare)
+    units = F.filter(F.transform(F.split("__bare", CUTS), _one), lambda x: x != "")
+    out = out.withColumn("__units", F.transform(units, lambda x: F.struct(F.xxhash64(masked(x)).alias("h"), x.alias("u"))))
+    return out.withColumn("__row", F.monotonically_increasing_id()).withColumn("__hashes", F.array_distinct(F.transform("__units", lambda x: x["h"])))
+
+
+def _unit_kind(u: Column) -> Column:
+    """What a recurring unit is, by the rules: placeholder, form, filler, script_notice, error_page, neutral (headings, numbers, closing remarks) or null."""
+    known = lambda p: u.rlike(_bare(p))
+    return (
+        F.when(u.contains("~v"), "placeholder").when(known(rf"(?iu)^{_ANY}(?:\s+{_ANY})*$") & known(rf"(?iu)^{SCRIPT_UNIT}"), "script_notice").when(known(MESSAGE_UNIT) & known(CORE_UNIT), "error_page")
+        .when(known(LOOSE), "recurring").when(known(STUB_LINE), "form").when(u.rlike(FILLER_TEXT), "filler").when(known(MESSAGE_UNIT) | u.rlike(HEADING_LINE) | u.rlike(r"^[\d\s.,:~§|/-]+$"), "neutral")
+    )
+
+
+def message_units(texts: DataFrame, source: str) -> DataFrame:
+    """__u (hash), unit, kind, n, n_known: the widely recurring units that rules know, and those that stand with known ones.
+
+    texts: of _of_texts. Counted over all texts; hash, count and least and
+    greatest source are shuffled, combined before, then the units themselves, once
+    per task, for the recurring ones only.
+    """
+    cores = ("script_notice", "error_page", "recurring", "filler")  # what stands beside a form is a text that someone began
+    each = texts.where("__h is not null").select(F.col(source).alias("s"), F.explode("__hashes").alias("__u"))
+    wide = sized(written(each.groupBy("__u").agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("a"), F.max("s").alias("b")).where((F.col("n") >= WIDE_TEXTS) & (F.col("a") != F.col("b"))).select("__u", "n"), "wide-units"))
+    named = texts.where("__h is not null").select(F.explode("__units").alias("x")).select(F.col("x.h").alias("__u"), F.col("x.u").alias("unit"))
+    kinds = written(named.join(wide, "__u").groupBy("__u").agg(F.min("unit").alias("unit"), F.first("n").alias("n")).withColumn("kind", _unit_kind(F.col("unit"))), "unit-kinds")
+    core = sized(kinds.where(F.col("kind").isin(*cores)).select(F.col("__u").alias("__c"), F.lit(True).alias("__core")))
+    # Texts with a known unit, by hash: what else stands in them.
+    with_core = texts.where("__h is not null").select("__hashes", "__row", F.explode("__hashes").alias("__c")).join(core, "__c").groupBy("__row").agg(F.first("__hashes").alias("__hashes"))
+    beside = with_core.select(F.explode("__hashes").alias("__u")).groupBy("__u").agg(F.count(F.lit(1)).alias("n_known"))
+    out = kinds.join(beside, "__u", "left").withColumn("n_known", F.coalesce("n_known", F.lit(0)))
+    part = F.when(F.col("kind").isNull() & (F.col("n_known") >= PART_SHARE * F.col("n")), "part").otherwise(F.col("kind"))
+    return out.withColumn("kind", part).where("kind is not null")
+
+
+def filler_words(texts: DataFrame) -> DataFrame:
+    """word: those that stand in WIDE_TEXTS texts, in most of them beside a word of the usual imitation Latin.
+
+    Words are counted once a text, over all texts; only the words of texts with
+    imitation Latin are counted at all.
+    """
+    words = F.array_distinct(F.filter(F.split(F.lower("__t"), r"[^\p{L}]+"), lambda x: F.length(x) > 1))
+    latin = F.arrays_overlap("__words", F.array(*[F.lit(w) for w in SEEDS]))
+    each = texts.where("__h is not null").select(words.alias("__words")).withColumn("latin", latin)
+    near = sized(written(each.where("latin").select(F.explode("__words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= WIDE_TEXTS), "latin"))
+    all_ = each.select(F.explode("__words").alias("word")).join(near.select("word"), "word").groupBy("word").agg(F.count(F.lit(1)).alias("m"))
+    return near.join(all_, "word").where(F.col("n") >= FILLER_SHARE * F.col("m")).select("word")
+
+
 def classified(docs: DataFrame, text: str, source: str) -> DataFrame:
-    """docs with residue: `placeholder`, `form`, `filler`, `error_page`, `script_notice`, `recurring`, or null for content.
-
-    Null, empty and blank texts are null (they hold no residue). Repeated rows
-    keep their place; a column called residue is replaced. Whole texts are looked at whatever their length. Two
-    passes: counting the masked hashes of all texts that aren't blank (hash, count
-    and least and greatest source are shuffled, combined before), and the rules;
-    of a text that recurs widely, a loose cue or one unit of a message is enough. Hashes
-    that recur widely are broadcast if a count proves them few; only then
-    no text is shuffled.
+    """docs with residue and residue_by; residue: `placeholder`, `form`, `filler`, `error_page`, `script_notice`, `recurring` (a message that only its recurrence shows), or null for content.
+
+    residue_by: `group` where the recurring units decide, `rule` where a rare text fits the
+    rules as a whole. Null, empty and blank texts are null (they hold no
+    residue). Repeated rows keep their place; columns called residue and
+    residue_by are replaced. Whole texts are looked at whatever their length.
+    Texts are judged by their hash, so no text is shuffled but the units that recur.
     """
-    t = F.btrim(plain(F.col(text)), F.lit(" \t\n\r\f\v"))
-    out = docs.withColumn("__t", t)
-    every = out.where(F.col("__t") != "").groupBy(F.xxhash64(masked(F.col("__t"))).alias("__w")).agg(F.count(F.lit(1)).alias("__n"), F.min(source).alias("__a"), F.max(source).alias("__b"))
-    wide = held(every.where((F.col("__n") >= WIDE_TEXTS) & (F.col("__a") != F.col("__b"))).select("__w"))
-    # Each costly look is behind a cheap one that no text of its class can fail.
-    may_hold = F.col("__t").rlike(r"[{<\[]|%%|@@|__")
-    bare = F.when(may_hold, F.regexp_replace(F.regexp_replace(F.regexp_replace("__t", r"```[\s\S]*?(?:```|$)", " § "), r"`[^`\n]*`", " § "), r"\"[^\"\n]*\"", " § "))
-    setext = F.when(F.col("__t").contains("\n-"), F.regexp_replace("__t", r"(?m)^[^\n]{1,60}\r?\n-{3,}\s*$", "---")).otherwise(F.col("__t"))
+    base = _of_texts(docs.drop("residue", "residue_by"), text, source)
+    units = written(message_units(base, source).select("__u", "kind"), "units")
+    latin = written(filler_words(base), "filler")
+    hits = base.where("__h is not null").select("__h", F.size("__hashes").alias("size"), "__row", F.explode("__hashes").alias("__u")).join(sized(units), "__u")
+    has = lambda *k: F.max(F.col("kind").isin(*k).cast("int"))
+    seen = hits.groupBy("__row").agg(F.first("__h").alias("__h"), (F.count(F.lit(1)) == F.first("size")).alias("whole"), *[has(k).alias(k) for k in ("placeholder", "form", "filler", "error_page", "script_notice", "recurring")])
+    group = F.when(F.col("placeholder") == 1, "placeholder").when(F.col("whole"), F.when(F.col("form") == 1, "form").when(F.col("filler") == 1, "filler").when(F.col("script_notice") == 1, "script_notice").when(F.col("error_page") == 1, "error_page").when(F.col("recurring") == 1, "recurring"))
+    words = F.filter(F.split(F.lower("__t"), r"[^\p{L}]+"), lambda x: F.length(x) > 1)
+    strange = base.where("__h is not null").select("__h", words.alias("__w"), "__row").where(F.size("__w") >= 5)
+    matched = strange.select("__h", F.size("__w").alias("size"), "__row", F.explode("__w").alias("word")).join(sized(latin), "word").groupBy("__row").agg(F.first("__h").alias("__h"), (F.count(F.lit(1)) >= FILLER_WORDS * F.first("size")).alias("most")).where("most").select("__h", F.lit("filler").alias("__group"))
+    found = written(seen.select("__h", group.alias("__group")).where("__group is not null").unionByName(matched).groupBy("__h").agg(F.max("__group").alias("__group")), "residue")
+    rule = _by_rule()
+    out = base.join(sized(found), "__h", "left")
+    by = F.when(F.col("__group").isNotNull(), "group").when(F.col("__rule").isNotNull(), "rule")
+    out = out.withColumn("__rule", F.when(F.col("__group").isNull() & F.col("__h").isNotNull(), rule))
+    return out.withColumns({"residue": F.coalesce("__group", "__rule"), "residue_by": by}).drop("__t", "__h", "__bare", "__units", "__hashes", "__row", "__group", "__rule")
+
+
+def _by_rule() -> Column:
+    """What a text (__t, __bare) is that fits the rules as a whole, unit by unit, however rare; costly looks are behind cheap ones that no text of their class can fail."""
+    t = F.col("__t")
     first = F.substring_index("__t", "\n", 1)
-    may_be_form = F.contains("__t", F.lit("\n-")) | F.contains("__t", F.lit("<!--")) | first.rlike(HEADING_LINE) | first.rlike(_bare(STUB_LINE))
-    lines = F.when(may_be_form, F.filter(F.split(F.regexp_replace(setext, r"<!--[\s\S]*?-->", "\n§form§\n"), r"\r?\n|\r"), lambda x: ~x.rlike(r"^\s*$")))
-    form = F.coalesce(F.forall("__l", lambda x: x.rlike(_bare(STUB_LINE)) | x.rlike(HEADING_LINE)) & F.exists("__l", lambda x: x.rlike(_bare(STUB_LINE))), F.lit(False))
-    units = F.filter(F.split("__t", r"[\r\n]+|(?<=[.!?…])\s+(?=[\p{Lu}\d–—])"), lambda x: F.length(F.trim(x)) > 0)
-    units = F.transform(units, lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, r"\s+", " "), r"\s*[–—|·]\s*(?:Codeharbor|Forge)$", "")))
-    units = F.when(F.col("__t").rlike(_bare(rf"(?iu)^(?:forge\s+·\s+)?{_ANY.replace(' ', BLANKS)}")), units)
-    rough = F.split(F.translate(F.lower("__t"), "\n\r\t0123456789.,;:!?()[]{}<>#*_'\"/-", "   "), " ")
-    may_fill = (F.size(F.array_distinct("__rough")) <= 30) | F.arrays_overlap("__rough", F.array(*[F.lit(w) for w in LATIN if len(w) > 4]))
-    words = F.when(may_fill, F.filter(F.split(F.lower("__t"), r"[^\p{L}]+"), lambda x: x != ""))
+    may_be_form = t.contains("\n-") | t.contains("<!--") | first.rlike(HEADING_LINE) | first.rlike(_bare(STUB_LINE))
+    lines = F.filter(F.split("__bare", r"\r?\n|\r"), lambda x: ~x.rlike(r"^\s*$"))
+    stub = lambda x: x.rlike(_bare(STUB_LINE))
+    form = may_be_form & F.forall(lines, lambda x: stub(x) | x.rlike(HEADING_LINE)) & F.exists(lines, stub)
+    units = F.filter(F.transform(F.split("__t", CUTS), _one), lambda x: x != "")
+    # The name of the site may stand beside a message: one or two words that end in no stop.
+    name = lambda x: x.rlike(r"^[\p{Lu}][\p{L}\d]*(?: [\p{Lu}][\p{L}\d]*)?$")
+    core = lambda x: x.rlike(_bare(CORE_UNIT))
+    fits = lambda x: x.rlike(_bare(MESSAGE_UNIT)) | F.regexp_replace(x, r"^\p{Lu}[\p{L}\d]* (?=\p{Lu})", "").rlike(_bare(MESSAGE_UNIT))
+    message = F.exists(units, core) & F.forall(units, lambda x: fits(x) | name(x)) & (F.size(F.filter(units, lambda x: name(x) & ~fits(x))) <= 1)
+    script = F.exists(units, lambda x: x.rlike(_bare(rf"(?iu)^{SCRIPT_UNIT}")))
+    may_be_message = F.get(units, F.lit(0)).rlike(_bare(rf"(?iu)^{_ANY}")) | name(F.get(units, F.lit(0)))
+    words = F.filter(F.split(F.lower("__t"), r"[^\p{L}]+"), lambda x: x != "")
+    n, distinct = F.size(words), F.size(F.array_distinct(words))
     latin = F.array(*[F.lit(w) for w in LATIN])
-    out = out.withColumn("__rough", rough).withColumns({"__bare": bare, "__l": lines, "__u": units, "__words": words, "__m": F.when(F.col("__t") != "", F.xxhash64(masked(F.col("__t"))))})
-    n, distinct = F.size("__words"), F.size(F.array_distinct("__words"))
-    filler = F.coalesce(F.col("__t").rlike(FILLER_TEXT) | ((n >= 6) & (distinct <= 6) & (n >= 2 * distinct)) | ((n >= 5) & (F.size(F.filter("__words", lambda w: F.array_contains(latin, w))) >= 0.8 * n)), F.lit(False))
-    message = F.coalesce(F.forall("__u", lambda x: (x == "") | x.rlike(_bare(MESSAGE_UNIT))) & F.exists("__u", lambda x: x.rlike(_bare(CORE_UNIT))), F.lit(False))
-    core = F.coalesce(F.exists("__u", lambda x: x.rlike(_bare(CORE_UNIT))), F.lit(False))
-    script = F.exists("__u", lambda x: x.rlike(_bare(rf"(?iu)^(?:forge · )?{SCRIPT_UNIT}")))
-    out = out.join(wide, F.col("__m") == F.col("__w"), "left")
-    kind = (
-        F.when(F.coalesce(F.col("__t"), F.lit("")) == "", None).when(F.col("__bare").rlike(PLACEHOLDER), "placeholder").when(form, "form").when(filler, "filler")
-        .when(message & script, "script_notice").when(message, "error_page").when(F.col("__w").isNotNull() & (F.col("__t").rlike(_bare(LOOSE)) | core), "recurring")
-    )
-    return out.withColumn("residue", kind).drop("__t", "__m", "__w", "__bare", "__l", "__u", "__words", "__rough")
+    filler = t.rlike(FILLER_TEXT) | ((n >= 6) & (distinct <= 6) & (n >= 2 * distinct)) | ((n >= 5) & F.arrays_overlap(words, F.array(*[F.lit(w) for w in SEEDS])) & (F.size(F.filter(words, lambda w: F.array_contains(latin, w))) >= FILLER_WORDS * n))
+    held = F.col("__bare").contains(" ~v ")
+    return F.when(held, "placeholder").when(form, "form").when(filler, "filler").when(may_be_message & message, F.when(script, "script_notice").otherwise("error_page"))
 
 
 def messages(docs: DataFrame, text: str, source: str) -> DataFrame:
