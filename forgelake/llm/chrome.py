@@ -2,19 +2,26 @@
 
 Every text is cut into nodes with a root-to-leaf path. Text that still has tags
 is parsed and its paths are those of the tags. Text whose tags were lost when
-it was captured has them restored from its layout: lines, separators and the
-fixed phrases of menus, notices and footers at the edges of the text give paths
-such as page/nav/item, page/notice/p or main/p. Over all texts, the length and
-the punctuation of each path's nodes are added up; each path gets the ratio of
-text per node, of punctuation per node and their spreads, smoothed with its
-parent path, fused into one score, and the paths below the widest gap of the
-scores are page text. A text holds page text if any of its nodes lies there.
+it was captured has paths restored from its layout: where a node stands (at the
+head, at the tail, between) and how (in a run of short nodes, beside one, as a
+paragraph, in a list, in code). Over all texts, the length and the punctuation
+of each path's nodes are added up; each path gets the ratio of text per node, of
+punctuation per node and their spreads, smoothed with its parent path, fused into
+one score, and the paths below the threshold that parts the scores best are page
+text.
+
+Where a capture lost the layout, too, the nodes are found by what they say: texts
+that stand on page paths again and again, and hardly anywhere else, are items of
+pages. No phrase is given: menus, notices and footers are learned from all texts
+of the table (`learned`). A text holds page text if items enough stand in a row at
+one of its edges, or as a block of their own.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -22,135 +29,256 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The phrases of pages around threads, by what they belong to.
-_NAV = "Home|Projects|Issues|Changes|Boards|Docs|Pricing|Explore|Groups|Threads|Code|Tickets|Merge queue|Pipelines|Wiki|Insights|Settings|Overview|Repositories|Packages|People|Activity|Search or jump to|Product|Solutions|Resources|Company|Blog|Startseite|Vorgänge|Änderungen|Hilfe|Anmelden|Menu|Log in|Sign in|Sign up|Dashboard|Marketplace|Features|Support"
-_SKIP = "Skip to main content|Skip to content(?! link)|Jump to thread|Jump to bottom|Open menu|Toggle navigation|Zum Inhalt springen|Back to top|Back to list|Aller au contenu|Saltar al contenido"
-_NOTICE = r"(?:We|This site|By continuing|Wir|Nous|Usamos|Este sitio|Diese Seite|Ce site) [^\n.]{0,50}[Cc]ookies?[^\n.]{0,80}\.|Cookies help us [^\n.]{3,60}\."
-_BUTTON = "Accept all|Reject all|Reject|Got it|Learn more|Preferences|Only necessary|Alle akzeptieren|Ablehnen|Tout accepter|Refuser"
-_FOOT = "About us|Accessibility|Press|Careers|Site map|Imprint|Terms|Privacy|Status|Contact|Security|Manage cookies|Docs|Impressum|Datenschutz|Nutzungsbedingungen|Barrierefreiheit|Mentions légales|Confidentialité|Plan du site|Aide|Aviso legal|Privacidad|Accesibilidad"
-_LEGAL = r"© \d{4} [A-Z][a-z]+(?: [A-Z][a-z]+\.?)?|Copyright \d{4} [A-Z][a-z]+(?: [A-Z][a-z]+\.?)?|All rights reserved\.?|Powered by [A-Z]\w+ \d+(?:\.\d+)*|Made with care by the [A-Z]\w+ team"
-_ACCOUNT = r"Please sign in to [^\n.]{3,50}\.|Create a free account to [^\n.]{3,30}?thread|Already have an account\? (?:Log|Sign) in|You need an account to [^\n.]{3,60}\.|This conversation is locked [^\n.]{3,40}\.|(?:Log|Sign) in to (?:reply|comment|join)[^\n.]{0,40}\.?|Sign up for free to join[^\n.]{0,60}\."
-_ACTION = "Report|Share|Print view|Print|Copy link|Quote reply|Follow|Subscribe|Edit|New issue|Reply"
-_GAP = r"(?:\s*[·|›—/•-]\s*|\s+)"
-_G = _GAP + "?"
-_PAGER = rf"(?:‹ Newer|‹ Prev|Previous|Zurück|Newer|Précédent|Anterior){_G}\d{{1,4}}(?:{_G}\d{{1,4}}){{0,6}}{_G}(?:Older ›|Older|Next ›|Next|Weiter|Suivant|Siguiente)|Page rendered in [\d.]+ m?s|\d+ people viewed this page|Rate this page: \d+ votes|Was this page helpful\? Yes{_G}No|Last updated \d+ \w+ ago"
-_ASIDE = rf"Participants \(\d+\)(?:{_G}Notifications)?(?:{_G}Subscribe)?(?:{_G}You are not receiving updates from this thread)?|Related threads{_G}[\s\S]{{3,200}}?Show all \d+|Trending this week{_G}[\s\S]{{3,120}}?See the full list|Reviewers{_G}none requested(?:{_G}Labels{_G}[\w -]{{2,30}}?)?(?:{_G}Time spent{_G}\d+ h)|Watchers{_G}\d+{_G}Linked work{_G}nothing linked(?:{_G}Target release{_G}not set)?|Assignees{_G}(?:no one|nobody)[\w ]{{0,20}}|Milestone{_G}none"
-_CRUMB = rf"Home{_GAP}(?:Groups|Projects|Explore|Organisations){_GAP}[a-z][\w./-]{{1,40}}{_GAP}(?:Tickets|Changes|Threads|Issues|Merge queue)|Home{_GAP}[\w-]+/[\w-]+{_GAP}(?:Tickets|Changes|Threads|Issues)|Issues / Open /|Pull requests / Open /|Vorgänge{_GAP}Startseite"
-_TITLE = r"(?:Issue|Ticket|Vorgang) #?\d{1,6}|\d+ watchers|Codeharbor|Forge|[a-z]\w*(?:-\w+)*/[a-z]\w*(?:-\w+)*(?![.\w/])"
-
-_REPO = re.compile(r"(?<![\w/.`-])[a-z]\w*(?:-\w+)*/[a-z]|(?<=\d)(?<![a-z/.`-])[a-z]\w*(?:-\w+)*/[a-z]")
-
-#: (part of the page, kind of node, weight as evidence, pattern); evidence of 2 in a row at an edge of the text shows page text.
-PHRASES = [
-    ("aside", "block", 2, _ASIDE), ("nav", "crumb", 2, _CRUMB), ("notice", "p", 2, _NOTICE), ("account", "p", 2, _ACCOUNT), ("pager", "block", 2, _PAGER), ("footer", "legal", 2, _LEGAL),
-    ("nav", "skip", 2, _SKIP), ("notice", "button", 1, _BUTTON), ("account", "action", 1, _ACTION), ("footer", "item", 1, _FOOT), ("nav", "item", 1, _NAV),
-]
-TITLE_PHRASES = [("title", "mark", 2, _TITLE), *PHRASES]
-
-_SEP = re.compile(r"(?:[ \t]*[·|›—•][ \t]*|[ \t]+[-/][ \t]+|[ \t]{2,}|[ \t]*\n\s*|[ \t]+)?")
-_COUNT = re.compile(r"[ \t]*\(?\d{1,3}\)?(?![\d.])")
+from forgelake.errors import LayoutError
+from forgelake.session import written
+
+#: Texts that an item must stand in on page paths, the share of all its nodes that these must be, words of a title's item.
+ITEM_TEXTS, ITEM_SHARE, TITLE_WORDS = 3, 0.5, 5
+
+#: Chance that two nodes of an item stand beside the same item; nodes of a title's item from which it needs no other beside it.
+COMPANY, SURE = 0.02, 10
+
+#: Items that a table may have; they describe layouts, not data. Counters of a task are passed on when they hold so many keys.
+MAX_ITEMS, FLUSH = 200_000, 200_000
+
+#: Longest node that may be an item, and longest short one, in characters and words.
+LONGEST, SHORT, SHORT_WORDS = 120, 48, 8
+
+_STRONG = r"[ \t]*[·|›—•‹»][ \t]*|[ \t]{2,}"
+_NODE_CUT = re.compile(rf"(?:{_STRONG}|[ \t]*\r?\n[ \t]*)+")
+_TITLE_CUT = re.compile(rf"(?:{_STRONG}|[ \t]+[-/][ \t]+|[ \t]*\n[ \t]*)+")
+_SEP = re.compile(r"(?:[ \t]*[·|›—•‹»][ \t]*|[ \t]+[-/][ \t]+|[ \t]+|[ \t]*\r?\n\s*)*")
+_NUMBER = re.compile(r"\(?0\)?(?![a-z.])")
+_BETWEEN = re.compile(r"[^\s.!?`]{1,40}(?:[ ][^\s.!?`]{1,20}){0,2}?(?=[ \t·|›—•‹»\r\n])")
+_NODES_BETWEEN = re.compile(rf"[^\n.!?`]{{1,60}}?(?:(?:{_STRONG}|[ \t]*\n[ \t]*)[^\n.!?`]{{1,60}}?){{0,3}}?(?={_STRONG}|[ \t]*\n)")
+_WORDS_BETWEEN = re.compile(r"[^\n.!?`]{1,110}?(?=[ ])")
+_NUMBERS = re.compile(r"\d+(?:[.,:]\d+)*")
+_COUNT = re.compile(r"[ \t]*\(?0\)?$")
+_LIST = re.compile(r"(?:[-*+]|\d+[.)])\s|>")
+
+
+def item_text(node: str, title: bool = False) -> str:
+    """A node as an item: digits are one 0; a count behind it is left out, but not in titles, where it is a number of something."""
+    t = _NUMBERS.sub("0", node.strip(" \t\r\n·|›—•‹»"))
+    return t if title else _COUNT.sub("", t) or t
+
+
+def layout(text: str, title: bool = False) -> list[tuple[int, int, str]]:
+    """start, end and path of the nodes of a text without tags, by its lines, separators and neighbours alone."""
+    cuts, at, spans = (_TITLE_CUT if title else _NODE_CUT), 0, []
+    for m in cuts.finditer(text):
+        spans.append((at, m.start()))
+        at = m.end()
+    spans = [(s, e) for s, e in [*spans, (at, len(text))] if text[s:e].strip()]
+    if title:
+        main = max(range(len(spans)), key=lambda i: spans[i][1] - spans[i][0], default=0)
+        return [(s, e, "title/main" if i == main else "title/edge") for i, (s, e) in enumerate(spans)]
+    kinds, fenced = [], False
+    for s, e in spans:
+        t = text[s:e]
+        if "```" in t:
+            fenced = not fenced if t.count("```") % 2 else fenced
+            kinds.append("pre")
+        elif fenced:
+            kinds.append("pre")
+        elif _LIST.match(t):
+            kinds.append("li")
+        else:
+            kinds.append("short" if len(t) <= SHORT and len(t.split()) <= SHORT_WORDS and t[-1] not in ".!?:;,`" and "`" not in t else "p")
+    out, i, last = [], 0, len(spans) - 1
+    while i <= last:
+        j = i
+        while j < last and kinds[j + 1] == kinds[i] == "short":
+            j += 1
+        if kinds[i] == "short":
+            where = "whole" if i == 0 and j == last else "head" if i == 0 else "tail" if j == last else "within"
+            how = "run" if j - i >= 2 else "pair" if j > i else "lone"
+            out += [(*spans[k], f"{where}/{how}") for k in range(i, j + 1)]
+        else:
+            out.append((*spans[i], f"main/{kinds[i]}"))
+        i = j + 1
+    # A sentence between a run and an edge, or on the inner side of an edge's run, with other text left; of two beside one run, the shorter.
+    paragraphs = [k for k in range(last + 1) if kinds[k] != "short"]
+    if len(paragraphs) > 1:
+        marked = []
+        for k, inner, edge in ((paragraphs[0], 1, "head"), (paragraphs[-1], -1, "tail")):
+            outer = 0 <= k - inner <= last and kinds[k - inner] == "short"
+            inside = k in (0, last) and 0 <= k + inner <= last and kinds[k + inner] == "short"
+            if kinds[k] == "p" and (outer or inside) and spans[k][1] - spans[k][0] <= LONGEST:
+                marked.append((k, inner, edge, inside))
+        if len(marked) == 2 and len(paragraphs) == 2 and marked[0][3] and marked[1][3]:
+            marked = [min(marked, key=lambda m: spans[m[0]][1] - spans[m[0]][0])]
+        for k, inner, edge, inside in marked:
+            out[k] = (*spans[k], f"{edge}/beside")
+            j = k + inner
+            while inside and 0 <= j <= last and kinds[j] == "short":
+                out[j] = (*spans[j], f"{edge}/{out[j][2].partition('/')[2]}")
+                j += inner
+    return out
 
 
 class Grammar:
-    """Finds page phrases at the edges of a text; titles have phrases of their own."""
+    """Finds the page text of texts by learned items (item -> weight): those at their edges, and blocks within."""
 
-    def __init__(self, phrases=PHRASES, title: bool = False):
+    def __init__(self, items: dict[str, int], title: bool = False):
         import ahocorasick
 
-        self.title = title
-        self.phrases = phrases
-        self.item = re.compile("|".join(f"(?P<g{i}>{p})" for i, (_, _, _, p) in enumerate(phrases)))
-        heads = set()
-        for _, _, _, p in phrases:
-            if p is _TITLE:
-                continue
-            for alternative in re.split(r"\|(?![^(]*\))", p.replace(_GAP, "~")):
-                words = re.match(r"[^\[\]\\(){}?*+.~]{2,}", alternative.replace("(?:Log|Sign) in", "Log in"))
-                if words:
-                    heads.add(words[0].rstrip())
-        heads |= {"We use cookies", "We and our", "This site", "By continuing", "Cookies help", "Wir verwenden", "Nous utilisons", "Usamos", "Este sitio", "Diese Seite", "Ce site", "‹", "Previous", "Zurück", "Newer", "Issue ", "Ticket ", "Vorgang ", "people viewed", "watchers", "Codeharbor", "Forge", "Sign in", "Page rendered", "Rate this page"}
-        self.heads = ahocorasick.Automaton()
-        for h in heads:
-            self.heads.add_word(h, len(h))
-        self.heads.make_automaton()
-
-    def starts(self, text: str) -> list[int]:
-        """Where a phrase may start."""
-        return sorted({end - n + 1 for end, n in self.heads.iter(text)})
-
-    def run(self, text: str, at: int) -> tuple[int, float, list[tuple[int, int, str]]]:
-        """From `at` on, as many phrases as follow each other: where they end, their evidence, and their nodes."""
-        nodes, weight = [], 0.0
+        self.title, self.items = title, items
+        self.words = ahocorasick.Automaton()
+        for item in items:
+            self.words.add_word(item, item)
+        if items:
+            self.words.make_automaton()
+
+    def __reduce__(self):
+        return Grammar, (self.items, self.title)
+
+    def _found(self, text: str) -> tuple[dict[int, int], dict[int, int]]:
+        """start -> end of the longest item there that no word goes on before or behind; the same of those that only another item runs into."""
+        every: dict[int, list[int]] = {}
+        for last, item in self.words.iter(text):
+            every.setdefault(last - len(item) + 1, []).append(last + 1)
+        free: dict[int, int] = {}
+        glued: dict[int, int] = {}
+        for start, ends in every.items():
+            before, first = text[start - 1:start], text[start]
+            alone = not (before.isalnum() and first.isalnum() and not (first.isupper() and not before.isupper())) and before not in ("/", "_", "`", "@", "#")
+            for end in sorted(ends, reverse=True):
+                behind = text[end:end + 1]
+                ends_well = behind not in ("/", "_") and (not (behind.isalnum() and text[end - 1].isalnum()) or behind == "0" or (behind.isupper() and not self.title))
+                if ends_well or (end in every and not self.title):
+                    (free if alone else glued)[start] = end
+                    break
+        return free, glued
+
+    def _gap(self, text: str, at: int, numbers: bool = True) -> int:
+        """Behind the separators, and the bare numbers, that start at `at`."""
         while True:
-            gap = _SEP.match(text, at)
-            start = gap.end()
-            m = self.item.match(text, start)
+            start = _SEP.match(text, at).end()
+            m = _NUMBER.match(text, start) if numbers else None
             if not m:
-                break
-            part, kind, w, _ = self.phrases[int(m.lastgroup[1:])]
-            end = m.end()
-            if (part, kind) == ("nav", "item") or kind in ("item", "skip", "button", "action"):
-                if end < len(text) and text[end].islower():
+                return start
+            at = m.end()
+
+    def _next(self, text: str, at: int, found: dict[int, int]) -> int | None:
+        """Where the next item starts, with nothing but separators and numbers before it."""
+        return next((p for n in (False, True) if (p := self._gap(text, at, n)) in found), None)
+
+    def _run(self, text: str, at: int, found: dict[int, int], glued: dict[int, int], fill: bool = True) -> tuple[int, float, list[tuple[int, int]]]:
+        """From `at` on, as many items as follow each other: where they end, their weight, and their places.
+
+        fill: what stands between two items belongs to them, as a name in a list
+        of links does: some nodes of their own, or some words, more of them
+        where both items have several words themselves.
+        """
+        nodes: list[tuple[int, int]] = []
+        weight, size = 0.0, len(text)
+        while True:
+            start = at if not nodes or at in glued else self._next(text, at, found)
+            if start is None or (start not in found and not (nodes and start in glued)):
+                between = None
+                begin = self._gap(text, at)
+                if nodes and fill and begin < size:
+                    long = " " in text[nodes[-1][0]:nodes[-1][1]]
+                    for pattern in (_BETWEEN, _NODES_BETWEEN, _WORDS_BETWEEN)[:3 if long else 2]:
+                        for m in [pattern.match(text, begin)] if pattern is not _WORDS_BETWEEN else []:
+                            if m and (p := self._next(text, m.end(), found)) is not None:
+                                between = m.span()
+                        if between is None and pattern is not _BETWEEN:  # the nearest item that the words between reach
+                            for p in sorted(q for q in found if begin < q <= begin + (112 if pattern is _WORDS_BETWEEN else 250)):
+                                gap = text[begin:p]
+                                ok = re.fullmatch(_WORDS_BETWEEN.pattern + " " if pattern is _WORDS_BETWEEN else rf"(?:{_NODES_BETWEEN.pattern})(?:{_STRONG}|[ \t]*\n[ \t]*)", gap)
+                                if ok and (pattern is not _WORDS_BETWEEN or " " in text[p:found[p]]):
+                                    between = (begin, p - len(gap) + len(gap.rstrip(" \t\n·|›—•‹»")))
+                                    break
+                        if between:
+                            break
+                if between is None:
                     break
-                count = _COUNT.match(text, end)
-                if count and (count.end() == len(text) or not text[count.end()].isalnum() or text[count.end()].isupper()):
-                    end = count.end()
-            if self.title and nodes and gap.group() and gap.group() != " ":
-                w += 1
-            nodes.append((start, end, f"page/{part}/{kind}"))
-            weight += w
+                nodes.append(between)
+                at = between[1]
+                continue
+            end = found.get(start) or glued[start]
+            weight += self.items[text[start:end]]
+            count = re.compile(r"[ \t]*\(?0\)?(?=$|[\s·|›—•‹»]|[^\W\d_a-z])").match(text, end)
+            end = count.end() if count and not self.title else end
+            nodes.append((start, end))
             at = end
-        return at, weight, nodes
-
-    def parts(self, text: str) -> list[tuple[int, int, str]]:
-        """The nodes of page text in a text, in order: at its start, at its end, and blocks of their own lines within."""
-        starts = self.starts(text)
-        if self.title:
-            starts = sorted({*starts, *[m.start() for m in _REPO.finditer(text)], *[m.start() for m in re.finditer(r"\d+ watchers", text)]})
-        elif starts:
-            starts = sorted({*starts, *[m.start() for m in re.finditer(r"\d+ people viewed|©", text)]})
-        if not starts:
+        if nodes:
+            last = self._gap(text, at)
+            at = last if last == size else at
+            if text[at:at + 1] == " " and text[at + 1:at + 2].islower():  # the last one begins a sentence
+                s, e = nodes.pop()
+                if not nodes:
+                    return s, 0.0, []
+                weight -= self.items.get(text[s:e], 0)
+                at = nodes[-1][1]
+        return at, weight, [(nodes[0][0], at)] if nodes else []
+
+    def parts(self, original: str) -> list[tuple[int, int, str]]:
+        """start, end and path of the nodes of page text, in order: at the start, at the end, and blocks within."""
+        if not self.items:
+            return []
+        text, shifts = original, []
+        if any(c.isdigit() for c in original):
+            out, at, lost = [], 0, 0
+            for m in _NUMBERS.finditer(original):
+                out += [original[at:m.start()], "0"]
+                lost += m.end() - m.start() - 1
+                shifts.append((m.start() + 1 - (lost - (m.end() - m.start() - 1)), lost))
+                at = m.end()
+            text = "".join([*out, original[at:]])
+        found, glued = self._found(text)
+        if not found:
             return []
         size = len(text.rstrip())
-        first = len(text) - len(text.lstrip())
-        end, head_weight, head = self.run(text, first) if starts[0] <= first else (first, 0.0, [])
-        if head:
-            rest = text[end:]
-            if self.title and re.match(r"[ \t]*(?:[·|›—][ \t]|[-/][ \t])|\n|[ \t]{2,}", rest):
-                head_weight += 1
-            glued = text[end - 1].isalpha() and rest[:1].isalpha() and rest[:1].islower()
-            if glued or (head_weight < 2 and rest.lstrip()[:1].islower()):
-                end, head_weight, head = first, 0.0, []
-        tail: list = []
-        tail_weight = 0.0
-        for p in starts:
+        first = len(text) - len(text.lstrip(" \t\r\n·|›—•‹»"))
+        end, head_weight, head = self._run(text, first, found, glued) if first in found else (first, 0.0, [])
+        if head and end >= size:
+            end, head_weight, head = self._run(text, first, found, glued, fill=False)
+        if self.title and head and text[end:end + 1].isalnum():
+            end, head_weight, head = first, 0.0, []
+        if self.title and head and re.match(r"[ \t]*(?:[·|›—][ \t]|[-/][ \t])|\n|[ \t]{2,}", text[end:]):
+            head_weight += 1
+        tail: list[tuple[int, int]] = []
+        tail_weight, known = 0.0, sorted(found)
+        for p in known:
             if p < end or (p == end and not head and p > first):
                 continue
-            number = self.title and re.search(r"#\d+$", text[:p])
-            if p and text[p - 1].isalnum() and not number:
-                continue
-            stop, weight, nodes = self.run(text, p)
+            stop, weight, nodes = self._run(text, p, found, glued)
+            if self.title and nodes and stop < size and (m := re.compile(rf"(?:{_STRONG}|[ \t]+[-/][ \t]+|[ \t]*\n[ \t]*)[^\s]{{1,60}}\s*$").match(text, stop)):
+                stop, nodes = size, [*nodes, (stop, m.end())]
             if stop < size or not nodes:
                 continue
-            if self.title and (number or nodes[0][2] == "page/account/action" or text[nodes[0][0]:nodes[0][1]] in ("Log in", "Sign up") or re.search(r"(?:[·|›—]|\s[-/]|\n|[ \t]{2})[ \t]*$", text[:p])):
+            before = text[:p]
+            if self.title and (before[-1:] == "0" or re.search(r"(?:[·|›—]|\s[-/]|\n|[ \t]{2})[ \t]*$", before) or weight + head_weight >= 2):
                 weight += 1
-            if weight >= 2 or (self.title and weight + head_weight >= 2):
+            if weight >= 2 and before.strip():
                 tail, tail_weight = nodes, weight
                 break
         if head_weight < 2 and not (self.title and tail and head_weight + tail_weight >= 2):
             head, end = [], first
+        if head and not tail and end >= size:
+            return []  # nothing else is there: what its author wrote
         high = tail[0][0] if tail else len(text)
-        middle: list = []
+        middle: list[tuple[int, int]] = []
         if not self.title:
             at = end
-            for p in starts:
+            for p in known:
                 if p < max(at, 1) or p >= high or not re.search(r"(?:\n|[ \t]{2}|[.!?`…)]\s)[ \t]*$", text[max(0, p - 8):p]):
                     continue
-                stop, _, nodes = self.run(text, p)
-                if nodes and nodes[0][2].split("/")[1] in ("aside", "notice", "pager"):
+                stop, weight, nodes = self._run(text, p, found, glued)
+                alone = stop >= high or text[stop:stop + 1] in ("\r", "\n")
+                if weight >= (2 if alone else 3) and stop < size and (alone or text[stop:].lstrip()[:1].isupper()):
                     middle += nodes
                     at = stop
-        return head + middle + tail
+        if self.title and head and (m := re.match(r"[ \t]+[-/](?=[ \t])", text[end:])):
+            head = [(head[0][0], end + m.end())]
+        back_to = lambda p: re.search(r"(?:[·|›—•‹»][ \t]*)*$", text[:p]).start()
+        middle, tail = ([(back_to(s), e) for s, e in nodes] for nodes in (middle, tail))
+        starts = [a for a, _ in shifts]
+        back = lambda x: x + (shifts[i - 1][1] if (i := bisect_right(starts, x)) else 0)
+        return [(back(s), back(e), f"page/{where}") for where, nodes in (("head", head), ("within", middle), ("tail", tail)) for s, e in nodes]
 
 
 class _Tags(HTMLParser):
@@ -165,11 +293,11 @@ class _Tags(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         if tag not in self.VOID:
-            self.open.append(tag)
+            self.open.append(tag + ("." + name.split()[0] if (name := dict(attrs).get("class") or "").split() else ""))
 
     def handle_endtag(self, tag):
-        if tag in self.open:
-            while self.open.pop() != tag:
+        if any(x.partition(".")[0] == tag for x in self.open):
+            while self.open.pop().partition(".")[0] != tag:
                 pass
 
     def handle_data(self, data):
@@ -180,63 +308,126 @@ class _Tags(HTMLParser):
 _TAGGED = re.compile(r"</?(?:html|body|div|nav|ul|li|p|a|footer|header|span|td|article|section)\b[^<>]*>", re.I)
 
 
-def nodes_of(text: str, grammar: Grammar) -> list[tuple[str, str, bool]]:
-    """path, text, from_page_phrases of each node, in order; whole texts are cut, whatever their length."""
+def nodes_of(text: str, title: bool = False) -> list[tuple[str, str]]:
+    """path and text of each node, in order; whole texts are cut, whatever their length."""
     if len(_TAGGED.findall(text)) >= 2:
         parser = _Tags()
         parser.feed(text)
         parser.close()
-        return [(f"tags/{p}", t, False) for p, t in parser.nodes]
-    page = grammar.parts(text)
-    out: list[tuple[str, str, bool]] = []
-    fenced, at = False, 0
-    for start, end, path in [*page, (len(text), len(text), "")]:
-        for line in text[at:start].split("\n"):
-            t = line.strip(" \t\r·|›—")
-            if not t:
-                continue
-            if t.startswith("```"):
-                fenced = not fenced
-            kind = "pre" if fenced or t.startswith("```") else "quote" if t[0] == ">" else "li" if t[:2] in ("- ", "* ") else "p"
-            out.append((f"main/{kind}", t, False))
-        if path:
-            out.append((path, text[start:end], True))
-        at = end
-    return out
+        return [(f"tags/{p}", t) for p, t in parser.nodes]
+    return [(p, text[s:e]) for s, e, p in layout(text, title)]
 
 
 _PUNCT = re.compile(r"[.,;:!?…、。`()\"']")
 
 
-def path_statistics(texts: DataFrame, text: str, is_title: str) -> DataFrame:
-    """path, nodes, chars, chars2, marks, marks2 over all texts: sums and sums of squares of length and punctuation per node."""
-    schema = "path string, nodes bigint, chars double, chars2 double, marks double, marks2 double"
+def item_of(path: str, node: str, title: bool) -> str | None:
+    return item_text(node, title) if len(node) <= LONGEST and not path.startswith("tags/") and path not in ("main/li", "main/pre") else None
+
+
+def with_neighbours(nodes: list[tuple[str, str]], title: bool) -> list[tuple[tuple[str, str], str | None]]:
+    """Each node with an item of its part of a page, null if it stands alone: the next one, and for the first and the last one each other."""
+    part = [p.partition("/")[0] if p not in ("main/p", "main/li", "main/pre", "title/main") and not p.startswith("tags/") else None for p, _ in nodes]
+    out, i = [], 0
+    while i < len(nodes):
+        j = i
+        while part[i] and j + 1 < len(nodes) and part[j + 1] == part[i]:
+            j += 1
+        for k in range(i, j + 1):
+            other = j if k == i else i if k == j else k + 1
+            out.append((nodes[k], item_text(nodes[other][1], title) if j > i else None))
+        i = j + 1
+    return out
+
+
+def node_counts(texts: DataFrame, text: str, is_title: str) -> DataFrame:
+    """path, title, item, beside, nodes, chars, chars2, marks, marks2: sums and sums of squares of length and punctuation over the nodes of all texts, for each path, item and item beside it.
+
+    item is null for nodes too long for one, and for those of tagged texts;
+    beside is another node of the same part of a page (`with_neighbours`). Sums are combined per task.
+    """
+    schema = "path string, title boolean, item string, beside string, nodes bigint, chars double, chars2 double, marks double, marks2 double"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grammars = (Grammar(), Grammar(TITLE_PHRASES, True))
-        sums: dict[str, list[float]] = {}
+        sums: dict[tuple, list[float]] = {}
+
+        def flush() -> pd.DataFrame:
+            rows = [(*k, *v) for k, v in sums.items()]
+            sums.clear()
+            return pd.DataFrame(rows, columns=["path", "title", "item", "beside", "nodes", "chars", "chars2", "marks", "marks2"])
+
         for batch in batches:
             for t, title in zip(batch["t"], batch["title"]):
                 if not t:
                     continue
-                for path, node, _ in nodes_of(t, grammars[title]):
-                    s = sums.setdefault(path, [0, 0.0, 0.0, 0.0, 0.0])
+                for (path, node), beside in with_neighbours(nodes_of(t, bool(title)), bool(title)):
+                    item = item_of(path, node, bool(title))
                     n, marks = len(node), len(_PUNCT.findall(node))
+                    s = sums.get((path, title, item, beside))
+                    if s is None:
+                        s = sums[path, title, item, beside] = [0, 0.0, 0.0, 0.0, 0.0]
                     s[0] += 1
                     s[1] += n
                     s[2] += n * n
                     s[3] += marks
                     s[4] += marks * marks
-        yield pd.DataFrame([(p, *s) for p, s in sums.items()], columns=["path", "nodes", "chars", "chars2", "marks", "marks2"])
+            if len(sums) > FLUSH:
+                yield flush()
+        yield flush()
 
-    rows = texts.select(F.col(text).alias("t"), F.col(is_title).alias("title")).mapInPandas(run, schema)
-    return rows.groupBy("path").agg(*[F.sum(c).alias(c) for c in ("nodes", "chars", "chars2", "marks", "marks2")])
+    rows = texts.select(F.col(text).alias("t"), F.coalesce(F.col(is_title), F.lit(False)).alias("title")).mapInPandas(run, schema)
+    return rows.groupBy("path", "title", "item", "beside").agg(*[F.sum(c).alias(c) for c in ("nodes", "chars", "chars2", "marks", "marks2")])
+
+
+def path_statistics(counts: DataFrame) -> DataFrame:
+    """path, nodes, chars, chars2, marks, marks2 over all items of node_counts."""
+    return counts.groupBy("path").agg(*[F.sum(c).alias(c) for c in ("nodes", "chars", "chars2", "marks", "marks2")])
+
+
+def learned(counts: DataFrame, paths: set[str]) -> tuple[Grammar, Grammar]:
+    """The grammars of texts and of titles, from node_counts.
+
+    An item stands on page paths in ITEM_TEXTS nodes, ITEM_SHARE of all there are
+    of it. In texts it must keep company, too: the chance that two of its nodes
+    stand beside the same item is COMPANY at least, as in menus, and unlike in
+    signatures, where each stands beside another name. An item of several words
+    shows page text alone (weight 2), a single word only beside others (1); in
+    titles, a number, or SURE nodes nearly all on page paths, do as well. More
+    than MAX_ITEMS are an error.
+    """
+    on = F.col("path").isin(*paths) if paths else F.lit(False)
+    known = counts.where("item is not null").withColumn("on", F.when(on, F.col("nodes")).otherwise(0))
+    near = known.groupBy("title", "item", "beside").agg(F.sum("on").alias("page"), F.sum("nodes").alias("n"))
+    near = written(near, "beside")
+
+    def kept(pairs: DataFrame) -> DataFrame:
+        both, every = F.when(F.col("held"), F.col("page")).otherwise(0), F.when(F.col("beside").isNotNull(), F.col("page")).otherwise(0)
+        seen = pairs.groupBy("title", "item").agg(F.sum("page").alias("page"), F.sum("n").alias("n"), F.sum(both * (both - 1)).alias("same"), F.sum(every).alias("pairs"))
+        company = (F.col("pairs") > 1) & (F.col("same") >= COMPANY * F.col("pairs") * (F.col("pairs") - 1))
+        return seen.where((F.col("page") >= ITEM_TEXTS) & (F.col("page") >= ITEM_SHARE * F.col("n")) & F.col("item").rlike(r"\p{L}|©") & (F.col("title") | company))
+
+    # Once more with the company of items alone: the names in signatures stand beside lines that keep none themselves.
+    first = kept(near.withColumn("held", F.col("beside").isNotNull())).select(F.col("title").alias("__t"), F.col("item").alias("__i"))
+    again = near.join(first, (F.col("title") == F.col("__t")) & (F.col("beside") == F.col("__i")), "left").withColumn("held", F.col("__i").isNotNull()).drop("__t", "__i")
+    rows = kept(again).limit(MAX_ITEMS + 1).collect()
+    if len(rows) > MAX_ITEMS:
+        raise LayoutError(f"more than {MAX_ITEMS} items of pages")
+    items: tuple[dict[str, int], dict[str, int]] = ({}, {})
+    for r in rows:
+        if not r["title"] or len(r["item"].split()) <= TITLE_WORDS:
+            items[r["title"]][r["item"]] = weight_of(r["item"], r["title"], r["page"], r["n"])
+    return Grammar(items[False]), Grammar(items[True], True)
+
+
+def weight_of(item: str, title: bool, page: int, n: int) -> int:
+    words = len(item.split())
+    return 2 if words > 2 or "©" in item or (title and ((words > 1 and ("0" in item or page >= 0.9 * n)) or (page >= SURE and page >= 0.9 * n))) else 1
 
 
 def scores(stats: list[tuple]) -> dict[str, float]:
     """The fused, smoothed log score of each path, from rows of path_statistics."""
     by: dict[str, list[float]] = {}
-    above = lambda p: p.rpartition("/")[0] if p.startswith("tags/") else p.partition("/")[0]
+    above = lambda p: p.rpartition("/")[0]
     for path, *sums in stats:
         for level in {path, above(path)}:
             s = by.setdefault(level, [0.0] * 5)
@@ -253,23 +444,27 @@ def scores(stats: list[tuple]) -> dict[str, float]:
 
 
 def page_paths(stats: DataFrame, max_paths: int = 100_000) -> set[str]:
-    """The paths below the threshold, the middle of the widest gap between neighbouring scores.
+    """The paths below the threshold, the one that sets the means of the scores below and above it furthest apart (their variance between the two is the greatest).
 
-    Where no path of restored page text was seen, or nothing else was, no gap
-    tells them apart: then those paths are the page's, if there are any. Paths
-    describe layouts, so they are few; at most max_paths rows reach the driver.
+    Tagged paths, those of titles and restored ones are parted each on their own. A text that is
+    nothing but short nodes is what its author wrote, so paths below `whole`
+    have no part in it. Paths describe layouts, so they are few; more than
+    max_paths are an error.
     """
     rows = stats.limit(max_paths + 1).collect()
     if len(rows) > max_paths:
-        raise ValueError(f"more than {max_paths} paths")
+        raise LayoutError(f"more than {max_paths} paths")
     by = scores([tuple(r) for r in rows])
-    order = sorted(by, key=by.get)
-    kinds = {p.partition("/")[0] for p in order}
-    if not {"page", "main"} <= kinds and "tags" not in kinds:
-        return {p for p in order if p.startswith("page/")}
-    gaps = [(by[b] - by[a], (by[a] + by[b]) / 2) for a, b in zip(order, order[1:])]
-    limit = max(gaps)[1] if gaps else -math.inf
-    return {p for p in order if by[p] < limit}
+    out: set[str] = set()
+    for kind in ("tags", "title", ""):
+        order = sorted((p for p in by if kind == (k if (k := p.partition("/")[0]) in ("tags", "title") else "") and k != "whole"), key=by.get)
+        def apart(i: int) -> float:
+            low, high = [by[p] for p in order[:i]], [by[p] for p in order[i:]]
+            return len(low) * len(high) * (sum(high) / len(high) - sum(low) / len(low)) ** 2
+
+        if len(order) > 1:
+            out |= set(order[:max(range(1, len(order)), key=apart)])
+    return out
 
 
 def without(text: str, page: list[tuple[int, int, str]]) -> str:
@@ -283,34 +478,44 @@ def without(text: str, page: list[tuple[int, int, str]]) -> str:
     return "\n".join(x for x in kept if x)
 
 
-def holds_page_text(column: Column, title: Column, paths: set[str]) -> Column:
-    """boolean: whether a text has a node on one of the paths; false for null and empty texts."""
+def _page_nodes(t: str, title: bool, paths: set[str], grammars: tuple[Grammar, Grammar]) -> list[tuple[int, int, str]] | list[str] | None:
+    if len(_TAGGED.findall(t)) >= 2:
+        return [x for p, x in nodes_of(t) if p in paths]
+    return grammars[bool(title)].parts(t)
+
+
+def holds_page_text(column: Column, title: Column, paths: set[str], grammars: tuple[Grammar, Grammar]) -> Column:
+    """boolean: whether a text has a node on a page path; false for null and empty texts."""
     @F.pandas_udf("boolean")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        grammars = (Grammar(), Grammar(TITLE_PHRASES, True))
         for texts, titles in batches:
-            yield pd.Series([bool(t) and any(p in paths for p, _, _ in nodes_of(t, grammars[k])) for t, k in zip(texts, titles)], dtype=bool)
+            yield pd.Series([bool(t) and bool(_page_nodes(t, k, paths, grammars)) for t, k in zip(texts, titles)], dtype=bool)
 
     return run(column, title)
 
 
-def main_text(column: Column, title: Column, paths: set[str]) -> Column:
+def main_text(column: Column, title: Column, paths: set[str], grammars: tuple[Grammar, Grammar]) -> Column:
     """string: the content nodes of each text; texts without page text come back unchanged, null stays null."""
     @F.pandas_udf("string")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        grammars = (Grammar(), Grammar(TITLE_PHRASES, True))
-
         def clean(t, k):
             if not t:
                 return t
-            nodes = nodes_of(t, grammars[k])
-            if not any(p in paths for p, _, _ in nodes):
+            page = _page_nodes(t, k, paths, grammars)
+            if not page:
                 return t
-            if nodes[0][0].startswith("tags/"):
-                return "\n".join(x.strip() for p, x, _ in nodes if p not in paths)
-            return without(t, grammars[k].parts(t))
+            if isinstance(page[0], str):
+                return "\n".join(x.strip() for p, x in nodes_of(t) if p not in paths)
+            return without(t, page)
 
         for texts, titles in batches:
             yield pd.Series([clean(t, k) for t, k in zip(texts, titles)], dtype=object)
 
     return run(column, title)
+
+
+def fitted(texts: DataFrame, text: str, is_title: str) -> tuple[set[str], tuple[Grammar, Grammar]]:
+    """The page paths of a table and its grammars: one pass over the texts, its counts written to the shared folder."""
+    counts = written(node_counts(texts, text, is_title), "nodes")
+    paths = page_paths(path_statistics(counts))
+    return paths, learned(counts, paths)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgelake.llm.chrome import holds_page_text, main_text, page_paths, path_statistics
+from forgelake.llm.chrome import fitted, holds_page_text, main_text, node_counts, path_statistics
 from forgelake.sources.tables import table
 
 
@@ -15,24 +15,20 @@ def _texts(spark: SparkSession, d: str) -> DataFrame:
     return comments.unionByName(issues)
 
 
-def _paths(texts: DataFrame) -> set[str]:
-    return page_paths(path_statistics(texts, "text", "is_title"))
-
-
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     texts = _texts(spark, d)
-    return texts.where(holds_page_text(F.col("text"), F.col("is_title"), _paths(texts))).select("record_kind", "record_id").distinct()
+    return texts.where(holds_page_text(F.col("text"), F.col("is_title"), *fitted(texts, "text", "is_title"))).select("record_kind", "record_id").distinct()
 
 
 def p3_main_text(spark: SparkSession, d: str) -> DataFrame:
     """Every text with only what its author wrote."""
     texts = _texts(spark, d)
-    return texts.select("record_kind", "record_id", main_text(F.col("text"), F.col("is_title"), _paths(texts)).alias("text"))
+    return texts.select("record_kind", "record_id", main_text(F.col("text"), F.col("is_title"), *fitted(texts, "text", "is_title")).alias("text"))
 
 
 def p3_paths(spark: SparkSession, d: str) -> DataFrame:
     """The paths of all nodes with their sums of text and punctuation."""
-    return path_statistics(_texts(spark, d), "text", "is_title")
+    return path_statistics(node_counts(_texts(spark, d), "text", "is_title"))
 
 
 QUERIES = {"p3_found": p3_found, "p3_main_text": p3_main_text, "p3_paths": p3_paths}
