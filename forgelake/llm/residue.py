@@ -106,10 +106,19 @@ def _one(x: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(x, r"\s+", " "), r"^[–—|·] ", ""))
 
 
-def _of_texts(docs: DataFrame, text: str, source: str) -> DataFrame:
+def _trimmed(text: Column) -> Column:
+    """What the rules read; null for blank texts."""
+    t = F.btrim(plain(text), F.lit(" \t\n\r\f\v"))
+    return F.when(t != "", t)
+
+
+def _words(text: str) -> Column:
+    return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda x: F.length(x) > 1)
+
+
+def _of_texts(docs: DataFrame, text: str) -> DataFrame:
     """docs with __t (trimmed), __h (its hash, null for blank), __bare (without code, quotes and what placeholders hold), __units (h: hash of the masked unit, u) and the different __hashes; __row tells rows apart within one pass."""
-    t = F.btrim(plain(F.col(text)), F.lit(" \t\n\r\f\v"))
-    out = docs.withColumn("__t", F.when(t != "", t)).withColumn("__h", F.xxhash64("__t"))
+    out = docs.withColumn("__t", _trimmed(F.col(text))).withColumn("__h", F.when(F.col("__t").isNotNull(), F.xxhash64("__t")))
     may_hold = F.col("__t").rlike(r"[{<\[]|%|@@|__|`|\"")
     bare = F.regexp_replace(F.regexp_replace(F.regexp_replace("__t", r"```[\s\S]*?(?:```|$)", " § "), r"`[^`\n]*`", " § "), r"\"[^\"\n]*\"", " § ")
     bare = F.when(F.col("__t").isNull() | ~may_hold, F.col("__t")).otherwise(F.regexp_replace(F.regexp_replace(bare, r"<!--[\s\S]*?-->", "\n§form§\n"), PLACEHOLDER, " ~v "))
@@ -156,7 +165,7 @@ def filler_words(texts: DataFrame) -> DataFrame:
     Words are counted once a text, over all texts; only the words of texts with
     imitation Latin are counted at all.
     """
-    words = F.array_distinct(F.filter(F.split(F.lower("__t"), r"[^\p{L}]+"), lambda x: F.length(x) > 1))
+    words = F.array_distinct("__w")
     latin = F.arrays_overlap("__words", F.array(*[F.lit(w) for w in SEEDS]))
     each = texts.where("__h is not null").select(words.alias("__words")).withColumn("latin", latin)
     near = sized(written(each.where("latin").select(F.explode("__words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= WIDE_TEXTS), "latin"))
@@ -173,22 +182,26 @@ def classified(docs: DataFrame, text: str, source: str) -> DataFrame:
     residue_by are replaced. Whole texts are looked at whatever their length.
     Texts are judged by their hash, so no text is shuffled but the units that recur.
     """
-    base = _of_texts(docs.drop("residue", "residue_by"), text, source)
-    units = written(message_units(base, source).select("__u", "kind"), "units")
+    docs = docs.drop("residue", "residue_by")
+    # Cut, masked and hashed once; one row per different text and source.
+    cut = _of_texts(docs.select(F.col(text).alias("__text"), F.col(source).alias("__source")), "__text").where("__h is not null")
+    base = written(cut.select("__row", "__h", "__source", "__units", "__hashes", _words("__t").alias("__w"), _by_rule().alias("__rule")), "cut")
+    units = written(message_units(base, "__source").select("__u", "kind"), "units")
     latin = written(filler_words(base), "filler")
     hits = base.where("__h is not null").select("__h", F.size("__hashes").alias("size"), "__row", F.explode("__hashes").alias("__u")).join(sized(units), "__u")
     has = lambda *k: F.max(F.col("kind").isin(*k).cast("int"))
     seen = hits.groupBy("__row").agg(F.first("__h").alias("__h"), (F.count(F.lit(1)) == F.first("size")).alias("whole"), *[has(k).alias(k) for k in ("placeholder", "form", "filler", "error_page", "script_notice", "recurring")])
     group = F.when(F.col("placeholder") == 1, "placeholder").when(F.col("whole"), F.when(F.col("form") == 1, "form").when(F.col("filler") == 1, "filler").when(F.col("script_notice") == 1, "script_notice").when(F.col("error_page") == 1, "error_page").when(F.col("recurring") == 1, "recurring"))
-    words = F.filter(F.split(F.lower("__t"), r"[^\p{L}]+"), lambda x: F.length(x) > 1)
-    strange = base.where("__h is not null").select("__h", words.alias("__w"), "__row").where(F.size("__w") >= 5)
+    strange = base.select("__h", "__w", "__row").where(F.size("__w") >= 5)
     matched = strange.select("__h", F.size("__w").alias("size"), "__row", F.explode("__w").alias("word")).join(sized(latin), "word").groupBy("__row").agg(F.first("__h").alias("__h"), (F.count(F.lit(1)) >= FILLER_WORDS * F.first("size")).alias("most")).where("most").select("__h", F.lit("filler").alias("__group"))
-    found = written(seen.select("__h", group.alias("__group")).where("__group is not null").unionByName(matched).groupBy("__h").agg(F.max("__group").alias("__group")), "residue")
-    rule = _by_rule()
-    out = base.join(sized(found), "__h", "left")
+    decided = seen.select("__h", group.alias("__group")).where("__group is not null").unionByName(matched).groupBy("__h").agg(F.max("__group").alias("__group"))
+    ruled = base.where("__rule is not null").groupBy("__h").agg(F.max("__rule").alias("__rule"))
+    found = written(decided.join(ruled, "__h", "full"), "residue")
     by = F.when(F.col("__group").isNotNull(), "group").when(F.col("__rule").isNotNull(), "rule")
-    out = out.withColumn("__rule", F.when(F.col("__group").isNull() & F.col("__h").isNotNull(), rule))
-    return out.withColumns({"residue": F.coalesce("__group", "__rule"), "residue_by": by}).drop("__t", "__h", "__bare", "__units", "__hashes", "__row", "__group", "__rule")
+    t = _trimmed(F.col(text))
+    keyed = docs.withColumn("__k", F.when(t.isNotNull(), F.xxhash64(t)))
+    out = keyed.join(sized(found), F.col("__k") == F.col("__h"), "left")
+    return out.withColumns({"residue": F.coalesce("__group", "__rule"), "residue_by": by}).drop("__k", "__h", "__group", "__rule")
 
 
 def _by_rule() -> Column:
