@@ -137,26 +137,29 @@ def html_text(html: Column, strip_each: bool = True) -> Column:
 
 # Where a page of a request, an issue or a listing keeps its fields, by priority.
 PR_TITLE = ["h1.gh-header-title", "span.js-issue-title"]
-ISSUE_TITLE = ["[data-testid=issue-title]", "h1.gh-header-title", "span.js-issue-title", "bdi.js-issue-title", ".markdown-title", "h1[data-testid*=title]", "[data-testid=issue-header] h1", "h1 bdi"]
+ISSUE_TITLE = ['h1[class*="PageHeader_Title"]', 'h1[class*="prc-PageHeader-Title"]', 'h1[class*="HeaderViewer"]', "h1.gh-header-title .js-issue-title", "h1 .js-issue-title", ".gh-header-title", "h1.gh-header-title", ".js-issue-title"]
 STATES = [".State--merged", ".State--closed", ".State--open", "[data-hovercard-type=pull_request] .State", ".gh-header-meta .State"]
+ISSUE_STATES = [".State--open", ".State--closed", ".State--merged", "[data-hovercard-type='issue'] .State", ".gh-header-meta .State"]
 AUTHORS = [".timeline-comment-header .author", ".timeline-comment .author", "[data-hovercard-type=user]", ".author"]
 TIMES = [".timeline-comment-header relative-time", "relative-time[datetime]", "time[datetime]"]
 BODIES = [".comment-body", ".timeline-comment-body", ".edit-comment-hide"]
-LABELS = ["a.IssueLabel", ".IssueLabel", "[data-testid=issue-labels] a"]
+LABELS = ["a.IssueLabel"]
+ISSUE_LABELS = [".js-issue-labels .IssueLabel", ".sidebar-labels .IssueLabel", ".labels .label"]
 COMMENT_BLOCKS = [".timeline-comment", ".js-timeline-item"]
-ISSUE_BODIES = ["[data-testid=issue-body]", "[data-testid=markdown-body]", ".comment-body", ".markdown-body", ".js-comment-body"]
+ISSUE_COMMENT_BLOCKS = [".timeline-comment", ".js-timeline-item", "[data-testid*='comment']", "[class*='timeline']", "[class*='comment']"]
+ISSUE_BODIES = ['[data-testid="issue-body"]', ".markdown-body", '[class*="IssueBody"]', '[class*="issue-body"]', ".comment-body"]
 LISTING = ["div[data-testid='issue-row'] a[href*='/pull/']", ".js-issue-row a[href*='/pull/']", ".js-navigation-item a[href*='/pull/']", "a[data-hovercard-type='pull_request']", "a.Link--primary[href*='/pull/']", "a.v-align-middle[href*='/pull/']", ".Box-row a[href*='/pull/']", ".issue-title-link[href*='/pull/']", "h3 a[href*='/pull/']", "h4 a[href*='/pull/']", "a[href*='/pull/']"]
 
 
 def _state(root: Element, issue: bool) -> str:
-    word = first_of(root, STATES).lower()
+    word = first_of(root, ISSUE_STATES if issue else STATES).lower()
     order = ("open", "closed") if issue else ("merged", "closed", "open")
     return next((w for w in order if w in word), "open")
 
 
-def _comments(root: Element, lowest: int, most: int) -> list[dict]:
+def _comments(root: Element, lowest: int, most: int, issue: bool = False) -> list[dict]:
     out, seen_blocks, seen_text = [], set(), set()
-    for s in COMMENT_BLOCKS:
+    for s in ISSUE_COMMENT_BLOCKS if issue else COMMENT_BLOCKS:
         for e in select(root, s):
             if id(e) in seen_blocks or any(id(x) in seen_blocks for x in e.walk()):
                 continue
@@ -196,10 +199,10 @@ def page_fields(html: Column, issue: bool = False, comment_min: int = 5, comment
                 title = next((t for e in select(root, "h1") if "sr-only" not in e.attrs.get("class", "").split() and len(t := e.text().strip()) > 5), "")
             if issue:
                 title = title.partition("#")[0].strip()
-            tags = [t for s in LABELS[: 3 if issue else 1] for e in select(root, s) if (t := e.text().strip())]
+            tags = [t for s in (ISSUE_LABELS if issue else LABELS) for e in select(root, s) if (t := e.text().strip())]
             rows.append({
                 "title": title, "state": _state(root, issue), "author": first_of(root, AUTHORS, default="unknown"), "created_at": first_of(root, TIMES, "datetime", None),
-                "tags": list(dict.fromkeys(tags)) if issue else tags, "comments": _comments(root, comment_min, comment_max), "body": first_of(root, ISSUE_BODIES), "text": root.text(),
+                "tags": list(dict.fromkeys(tags)) if issue else tags, "comments": _comments(root, comment_min, comment_max, issue), "body": first_of(root, ISSUE_BODIES), "text": root.text(),
             })
         return pd.DataFrame(rows)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # The phrases that tie an issue number to a text, in order of precedence.
 ISSUE_PATTERNS = [
-    r"(?im)\b(?:fixe?s?|closes?|resolves?|addresses?)\s+(?:issue\s+)?#(\d++)(?!\s*in\s+[\w-]+/[\w-]+)",
+    r"(?im)\b(?:fixes?|closes?|resolves?|addresses?)\s+(?:issue\s+)?#(\d++)(?!\s*in\s+[\w-]+/[\w-]+)",
     r"(?im)\b(?:fix|close|resolve|address)\s+(?:issue\s+)?#(\d++)(?!\s*in\s+[\w-]+/[\w-]+)",
     r"(?im)\b(?:issue|bug|problem)\s+#(\d++)(?!\s*in\s+[\w-]+/[\w-]+)",
     r"(?im)\b(?:see|related\s+to|duplicate\s+of|duplicates?)\s+(?:issue\s+)?#(\d++)(?!\s*in\s+[\w-]+/[\w-]+)",

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from forgelake.errors import SettingError
+
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and benches; a cluster brings its own settings."""
@@ -24,14 +27,17 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share (spark.checkpoint.dir).
 
-    Only where the session names none, as in local tests, one below the
-    warehouse folder is set, so a cluster never gets a machine-local folder.
+    Only where the session names none and runs in one process, as in tests, one
+    below the warehouse folder is set; a cluster without one is an error, so it
+    never gets a machine-local folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         folder = held.get() if held.isDefined() else None
     if not folder:
+        if not re.fullmatch(r"local(?:\[[^-\]]*\])?", spark.conf.get("spark.master", "")):
+            raise SettingError("spark.checkpoint.dir must name a folder that all executors share")
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")

@@ -88,7 +88,7 @@ PAGE = """<html><head><title>T</title><script>var s = "</p>";</script><style>x</
 <div class="timeline-comment"><div class="timeline-comment-header"><a class="author">ann</a><relative-time datetime="2024-02-02T00:00:00Z">x</relative-time></div><div class="comment-body">second comment text</div></div>
 <div class="timeline-comment"><a class="author">bob</a><time datetime="2024-01-01T00:00:00Z"></time><div class="comment-body">first &amp; oldest</div></div>
 <div class="timeline-comment"><div class="comment-body">second comment text</div></div><div class="timeline-comment"><div class="comment-body">abc</div></div>
-<a class="IssueLabel">bug</a><a class="IssueLabel">bug</a><p>unclosed<br>line</body></html>"""
+<div class="js-issue-labels"><a class="IssueLabel">bug</a><a class="IssueLabel">bug</a></div><p>unclosed<br>line</body></html>"""
 
 
 def test_page_fields(spark):
@@ -101,6 +101,15 @@ def test_page_fields(spark):
     assert i.tags == ["bug"] and i.state == "open"
 
 
+ISSUE = """<h1 class="x-PageHeader_Title-1">Broken loader #12</h1><span class="State State--closed">Closed</span><div class="sidebar-labels"><a class="IssueLabel">a</a></div><div class="labels"><i class="label">b</i></div>
+<div data-testid="issue-body">It is broken here.</div><div data-testid="x-comment-1"><a class="author">bo</a><div class="comment-body">we see it, too</div></div>"""
+
+
+def test_issue_fields(spark):
+    f = spark.createDataFrame([(ISSUE,)], "h string").select(H.page_fields(F.col("h"), True).alias("f")).first().f
+    assert (f.title, f.state, f.tags, f.body, [(c.author, c.content) for c in f.comments]) == ("Broken loader", "closed", ["a", "b"], "It is broken here.", [("bo", "we see it, too")])
+
+
 def test_tree_and_selectors():
     root = H.tree(PAGE)
     assert H.select(root, "div.timeline-comment a.author")[0].text() == "ann"
