@@ -58,5 +58,20 @@ def p7_normalised(spark: SparkSession, d: str) -> DataFrame:
     return normalised(spark, d, written_times(spark, d)).select("table_name", "row_id", "field_name", "utc_us", "status")
 
 
-QUERIES = {"p7_found": p7_found, "p7_zones": p7_zones, "p7_normalised": p7_normalised}
+def p7_recovered(spark: SparkSession, d: str) -> DataFrame:
+    """What estimation alone makes of each clock: the declared zone is hidden and sought among the declared zones of all clocks.
+
+    source, declared_zone, estimated_zone, n (its local times), violations (of
+    the estimated zone), declared_violations, as_good (the declared zone has no
+    fewer). Zones that no time of a clock tells apart are equally good.
+    """
+    declared = table(spark, d, "capture_zones")
+    hidden = declared.select(F.lit(None).cast("string").alias("source"), "zone_name")
+    seen = observed_times(spark, d)
+    found = estimate_zones(seen, hidden).select("source", F.col("zone").alias("estimated_zone"), "n", "violations")
+    known = estimate_zones(seen, declared).select(F.col("source").alias("__s"), "declared_zone", "declared_violations")
+    return found.join(known, F.col("source") == F.col("__s")).select("source", "declared_zone", "estimated_zone", "n", "violations", "declared_violations", (F.col("violations") <= F.col("declared_violations")).alias("as_good"))
+
+
+QUERIES = {"p7_found": p7_found, "p7_zones": p7_zones, "p7_normalised": p7_normalised, "p7_recovered": p7_recovered}
 SQL: dict[str, str] = {}

@@ -9,6 +9,7 @@ from forgelake.functions import text as X
 from forgelake.operators import metrics as M
 from forgelake.operators import relational as R
 from forgelake.operators.ordered import first_rows, latest_rows, top_rows
+from forgelake.operators.state import alive
 from forgelake.sources.tables import table
 
 QUERIES: dict = {}
@@ -241,7 +242,7 @@ def union_keep_first(spark, d):
 def ordered_union_refs(spark, d):
     links = table(spark, d, "pr_issue")
     first = first_rows(links, ["repo_url", "pr_number", "issue_number"], ["link_pos"])
-    best = top_rows(first, ["repo_url", "pr_number"], 5, [F.asc("link_pos"), F.asc("issue_number")], groups=1)
+    best = top_rows(first, ["repo_url", "pr_number"], 5, [F.asc("link_pos"), F.asc("issue_number")])
     one = best.groupBy("repo_url", "pr_number").agg(F.array_sort(F.collect_list(F.struct("rank", "issue_number"))).alias("refs"))
     return one.select("repo_url", "pr_number", F.array_join(F.transform(F.slice("refs", 1, 5), lambda x: x["issue_number"].cast("string")), ",").alias("refs"))
 
@@ -267,6 +268,33 @@ def cached_failure_skip(spark, d):
     return table(spark, d, "crawled_repositories", "crawl_id", "error_message").where(e.isNotNull()).select("crawl_id", "error_message", X.is_rate_limit(e).alias("rate_limited"), X.is_retryable(e).alias("retryable"))
 
 
+@query("""
+    with f as (select user_id, floor(epoch(max(ts))) t from events where event_type = 'error' group by user_id)
+    select c_custkey, c_name from customer where not exists (select 1 from f where user_id = c_custkey and 1706659200 - t < 604800)""")
+def unexpired_failure_skip(spark, d):
+    """The keys to be tried: those without a failure that hasn't expired yet (a week)."""
+    failures = table(spark, d, "events", "user_id", "event_type", "ts").where("event_type = 'error'").groupBy("user_id").agg(F.max("ts").alias("last_ts"))
+    blocked = failures.where(alive(F.col("last_ts"), F.lit("2024-01-31").cast("timestamp_ntz"), 604_800)).select(F.col("user_id").alias("c_custkey"))
+    return R.not_done(table(spark, d, "customer", "c_custkey", "c_name"), blocked, ["c_custkey"])
+
+
+@query("""
+    select repo_url, lower(state) state, max(cast(ceil(number / 25.0) as bigint)) + 1 next_page, count(distinct number) n_numbers
+    from pull_requests where number is not null and state is not null group by all""")
+def resume_page(spark, d):
+    """Where each listing of a repository goes on: the page behind the last one that was seen, 25 numbers a page."""
+    pulls = table(spark, d, "pull_requests", "repo_url", "number", "state").where("number is not null and state is not null")
+    page = F.ceil(F.col("number") / 25).cast("bigint")
+    return pulls.groupBy("repo_url", F.lower("state").alias("state")).agg((F.max(page) + 1).alias("next_page"), F.count_distinct("number").alias("n_numbers"))
+
+
+@query("select repo_url url from pull_requests where repo_url is not null union select repo_url from issues where repo_url is not null union select url from crawled_repositories where url is not null")
+def url_union(spark, d):
+    """Every repository that any table knows, once; each table is made distinct before the union."""
+    each = [table(spark, d, t, c).where(F.col(c).isNotNull()).select(F.col(c).alias("url")).distinct() for t, c in (("pull_requests", "repo_url"), ("issues", "repo_url"), ("crawled_repositories", "url"))]
+    return each[0].unionByName(each[1]).unionByName(each[2]).distinct()
+
+
 @query(f"""
     with {LATEST}, n as (select repo_url, count(distinct number) scraped from pull_requests group by repo_url)
     select url, coalesce(scraped, 0) scraped, total_pull_requests > 0 and coalesce(scraped, 0) >= total_pull_requests complete,
