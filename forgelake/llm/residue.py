@@ -125,7 +125,7 @@ def _of_texts(docs: DataFrame, text: str) -> DataFrame:
     bare = F.when(F.col("__t").contains("\n-"), F.regexp_replace(bare, r"(?m)^[^\n]{1,60}\r?\n-{3,}\s*$", "---")).otherwise(bare)
     out = out.withColumn("__bare", bare)
     units = F.filter(F.transform(F.split("__bare", CUTS), _one), lambda x: x != "")
-    out = out.withColumn("__units", F.transform(units, lambda x: F.struct(F.xxhash64(masked(x)).alias("h"), x.alias("u"))))
+    out = out.withColumn("__units", F.transform(units, lambda x: F.struct(F.xxhash64(F.when(x.rlike(r"[0-9@/]|www\."), masked(x)).otherwise(F.lower(x))).alias("h"), x.alias("u"))))  # only those have anything to mask
     return out.withColumn("__row", F.monotonically_increasing_id()).withColumn("__hashes", F.array_distinct(F.transform("__units", lambda x: x["h"])))
 
 
