@@ -11,6 +11,7 @@ Texts are split into pre-tokens first, as the public tokenizer does.
 from __future__ import annotations
 
 import base64
+import hashlib
 import struct
 from collections.abc import Iterator
 
@@ -102,12 +103,12 @@ class Codec:
         return bytes(self.back[c] for i in ids for c in self.model.id_to_piece(i)).decode("utf-8", "replace")
 
 
-_codecs: dict[int, Codec] = {}
+_codecs: dict[bytes, Codec] = {}
 
 
 def codec(model: bytes) -> Codec:
     """One codec per model and Python worker."""
-    key = hash(model)
+    key = hashlib.sha256(model).digest()
     if key not in _codecs:
         _codecs[key] = Codec(model)
     return _codecs[key]
