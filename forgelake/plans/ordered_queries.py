@@ -144,8 +144,8 @@ def keyed_upsert(spark, d):
 def comment_history(spark, d):
     """Comments of each thread once by text, long enough, shortened."""
     c = table(spark, d, "comments", "comment_id", "repo_url", "parent_kind", "parent_number", "pos", "content").withColumn("c", X.strip(F.col("content"))).where(F.length("c") >= 5)
-    one = O.first_rows(c, ["repo_url", "parent_kind", "parent_number", "c"], ["pos", "comment_id"], ["comment_id"])
-    return one.select("comment_id", "repo_url", "parent_kind", "parent_number", X.shortened(F.col("c"), 500).alias("content"))
+    one = O.first_rows(c.withColumn("k", F.sha2("c", 256)), ["repo_url", "parent_kind", "parent_number", "k"], ["pos", "comment_id"], ["comment_id"])
+    return c.join(one.select("comment_id"), "comment_id", "left_semi").select("comment_id", "repo_url", "parent_kind", "parent_number", X.shortened(F.col("c"), 500).alias("content"))
 
 
 @query("""
@@ -161,7 +161,8 @@ def sorted_threads(spark, d):
 @query("select doc_id, text from documents where text is not null qualify row_number() over (partition by text order by doc_id) = 1")
 def text_dedup(spark, d):
     docs = table(spark, d, "documents", "doc_id", "text").where("text is not null")
-    return docs.groupBy("text").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "text")
+    first = docs.groupBy(F.sha2("text", 256).alias("k")).agg(F.min("doc_id").alias("doc_id"))  # hashes are shuffled, no text
+    return docs.join(first.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text")
 
 
 @query("""
@@ -170,7 +171,7 @@ def text_dedup(spark, d):
 def comment_sample(spark, d):
     """The beginnings of the first ten longer comments of each thread: what a short record keeps."""
     c = table(spark, d, "comments", "comment_id", "repo_url", "parent_kind", "parent_number", "pos", "content").where(F.length("content") > 10).withColumn("head", F.substring("content", 1, 60)).drop("content")
-    best = O.top_rows(c, ["repo_url", "parent_kind", "parent_number"], 10, [F.asc("pos"), F.asc("comment_id")], groups=1)
+    best = O.top_rows(c, ["repo_url", "parent_kind", "parent_number"], 10, [F.asc("pos"), F.asc("comment_id")])
     g = best.groupBy("repo_url", "parent_kind", "parent_number").agg(F.array_sort(F.collect_list(F.struct("rank", "head"))).alias("a"))
     return g.select("repo_url", "parent_kind", "parent_number", F.array_join(F.transform("a", lambda x: x["head"]), "|").alias("heads"))
 
