@@ -135,3 +135,16 @@ def test_a_longer_variant_in_every_bucket_hides_no_copy(spark):
             break
     assert T.ends_early(short, whole) and not T.ends_early(short, longer)
     assert found(spark, [(short, "a"), (whole, "b"), (longer, "c")], [])[10_000] == "copy"
+
+
+@pytest.mark.parametrize("edited", [False, True])
+def test_no_partner_of_a_hot_opening_is_left_out(spark, edited):
+    """Texts that open, close and go on alike, neither the shortest nor the longest of which is the one that was cut; also with a word changed within the last ones."""
+    opening = " ".join(f"open{i}" for i in range(20))
+    begun = [f"{opening} {' '.join(f'mid{i}x{j}' for j in range(10))} the nightly build breaks again" for i in range(7)]
+    wholes = [f"{x} until{' nobody' * (i + 1)} looks." for i, x in enumerate(begun)]
+    cuts = [x.replace("build", "bild") if edited else x for x in begun]
+    df = spark.createDataFrame([(i, t, "a") for i, t in enumerate(wholes + cuts)], "id bigint, t string, source string")
+    g = T.Grammar({})
+    found = T.cut_copies(T.prepared(df, "t", "source", g).where("kind = 'text'"), df, "t", g)
+    assert {r.id for r in df.join(found, (F.length("t") == F.col("n")) & (F.xxhash64("t") == F.col("h"))).collect()} == set(range(7, 14))
