@@ -187,12 +187,12 @@ def prepared(texts: DataFrame, text: str, source: str, grammar: Grammar) -> Data
 
     kind `text`: n (length), h (hash), parts (starts and ends of page text), bands (of the main text;
     page text around it is no end) and, where the closing isn't a full stop,
-    own (the bands that it is looked up by), closers, cuts and before (`_closers`), unit, open1, open2, last; marked and code for marks and open code.
+    own (the bands that it is looked up by), closers, cuts and before (`_closers`), unit, open1, open2, last; alone if its main text is one short unit and it is in LIMIT_TEXTS sources; marked and code for marks and open code.
     Other kinds are counts, combined per task: k, cnt, ended of openings (`1`,
     `2`: words), `last` words, `unit`s without a full stop (ended: texts times sources), `word`s, and
     `begin`s, the first LINE + 1 characters of units of three words or more.
     """
-    schema = "kind string, n int, h bigint, parts array<int>, bands array<bigint>, own array<bigint>, closers array<bigint>, cuts array<string>, before array<bigint>, unit string, open1 string, open2 string, last string, marked boolean, code boolean, k string, cnt bigint, ended bigint"
+    schema = "kind string, n int, h bigint, parts array<int>, bands array<bigint>, own array<bigint>, closers array<bigint>, cuts array<string>, before array<bigint>, unit string, open1 string, open2 string, last string, alone boolean, marked boolean, code boolean, k string, cnt bigint, ended bigint"
     types = {"string": pa.string(), "boolean": pa.bool_(), "int": pa.int32(), "bigint": pa.int64(), "array<bigint>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string())}
     fields = [x.split(" ") for x in schema.split(", ")]
 
@@ -228,7 +228,7 @@ def prepared(texts: DataFrame, text: str, source: str, grammar: Grammar) -> Data
             originals = batch.column("t").to_pylist()
             parts = [grammar.parts(t) for t in originals]
             clean = [without(t, x) for t, x in zip(originals, parts)]
-            ends: dict[str, list] = {c: [] for c in ("unit", "open1", "open2", "last", "marked", "code")}
+            ends: dict[str, list] = {c: [] for c in ("unit", "open1", "open2", "last", "alone", "marked", "code")}
             for c, sources in zip(clean, batch.column("sources").to_pylist()):
                 units, full, marked, in_code, tick = closing(c)
                 for i, (u, f) in enumerate(zip(units, full)):
@@ -251,6 +251,7 @@ def prepared(texts: DataFrame, text: str, source: str, grammar: Grammar) -> Data
                 if not units:
                     for name in ("unit", "open1", "open2", "last"):
                         ends[name].append(None)
+                ends["alone"].append(len(units) == 1 and len(units[0]) <= LINE and sources >= LIMIT_TEXTS)
                 ends["marked"].append(marked)
                 ends["code"].append(in_code or tick)
             found = _minima(clean, known)
@@ -446,11 +447,16 @@ def candidates(ready: DataFrame, texts: DataFrame, text: str) -> DataFrame:
 def cut_copies(ready: DataFrame, texts: DataFrame, text: str, grammar: Grammar | None = None) -> DataFrame:
     """n, h of the texts that are a copy, cut short, of another text of the table. ready: the text rows of `prepared`.
 
-    Each pair of `candidates` is aligned; texts are fetched for pairs only.
+    A closing that is the whole of a text in LIMIT_TEXTS sources is whole there,
+    as sources don't cut a text at the same word by chance: texts that close so
+    are no cut copies, though others begin like them (`reason`s of the closing
+    hold all the same). Each pair of `candidates` is aligned; texts are fetched for pairs only.
     Texts shorter than a shingle have no pairs. The grammar isn't read any more:
     ready holds the places of page text.
     """
-    pairs = written(candidates(ready, texts, text), "pairs")
+    said = sized(ready.where("alone and unit is not null").select("unit").distinct().withColumn("said", F.lit(True)))
+    judged = ready.join(said, "unit", "left").withColumn("own", F.when(F.col("said").isNull(), F.col("own")))
+    pairs = written(candidates(judged, texts, text), "pairs")
     wanted = pairs.select(F.explode(F.array(*[F.struct(F.col(f"n{i}").alias("n"), F.col(f"h{i}").alias("h")) for i in (1, 2)])).alias("x")).select("x.*").distinct()
     wanted = sized(written(wanted.join(ready.select("n", "h", "parts"), ["n", "h"], "left"), "wanted"))
 

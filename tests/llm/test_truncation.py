@@ -148,3 +148,12 @@ def test_no_partner_of_a_hot_opening_is_left_out(spark, edited):
     g = T.Grammar({})
     found = T.cut_copies(T.prepared(df, "t", "source", g).where("kind = 'text'"), df, "t", g)
     assert {r.id for r in df.join(found, (F.length("t") == F.col("n")) & (F.xxhash64("t") == F.col("h"))).collect()} == set(range(7, 14))
+
+
+def test_what_several_sources_say_alone_is_whole(spark):
+    """A short text without a full stop that others begin with is no cut copy where it stands by itself in several sources; in one source it is."""
+    whole = "works for me on the old laptop"
+    longer = [(f"{whole} {x}", "a") for x in ("`since` last week", "and on the new one, too")]
+    found_in = lambda sources: found(spark, [*longer, *[(whole, s) for s in sources], (f"It was slow before.\n{whole}", "a"), ("It was slow before.\n" + longer[1][0], "b")], [])
+    assert found_in("bc") == {10_002: "copy", 10_003: "copy", 10_004: "copy"}
+    assert found_in("bcd") == {}
