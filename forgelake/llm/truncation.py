@@ -18,10 +18,12 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, islice, pairwise
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,8 +63,8 @@ _NUMBER = re.compile(r"\b[a-f]{0,39}[0-9][0-9a-f]*\b|[0-9]+")
 _DIGITS = str.maketrans("", "", "0123456789")
 _EDGE = re.compile(r"^[^\w~]+|[^\w~]+$")
 
-#: Counters of a task are passed on when they hold so many keys.
-FLUSH = 300_000
+#: Counters of a task are passed on when they hold so many keys, so many in a batch. Texts, and their characters, that a task works on at once; hashes of words that it keeps.
+FLUSH, TEXTS, CHARACTERS, KNOWN = 100_000, 2_000, 1 << 21, 1 << 16
 
 
 def _number(m: re.Match) -> str:
@@ -115,7 +117,7 @@ def _word_ids(words: list[str], known: dict[str, int]) -> list[int]:
         h = known.get(w)
         if h is None:
             h = zlib.crc32(w.encode()) * 0x9E3779B97F4A7C15 & (1 << 64) - 1
-            if len(known) < 1 << 18:
+            if len(known) < KNOWN:
                 known[w] = h
         out.append(h)
     return out
@@ -182,6 +184,18 @@ def _stored(texts: DataFrame, text: str, *more: str) -> DataFrame:
     return texts.where(F.col(text).rlike(r"\S")).select(*more, F.length(text).alias("n"), F.xxhash64(text).alias("h"), F.col(text).alias("t"))
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, in batches of at most TEXTS and, but for a single text, CHARACTERS (bytes) of t."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("t")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHARACTERS, side="right"))
+            to = min(max(to, at + 1), at + TEXTS, batch.num_rows)
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def prepared(texts: DataFrame, text: str, source: str, grammar: Grammar) -> DataFrame:
     """One pass over the different texts that aren't blank (copies count once); two kinds of rows.
 
@@ -216,15 +230,16 @@ def prepared(texts: DataFrame, text: str, source: str, grammar: Grammar) -> Data
             c[0] += 1
             c[1] += e
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
             clean: Counter = Counter()
             for w, c in words.items():
                 clean[_EDGE.sub("", w)] += c
-            rows = [(w, k, *c) for (w, k), c in counts.items()] + [("word", w, c, 0) for w, c in clean.items() if w] + [("begin", u, c, 0) for u, c in begins.items()]
+            rows = chain(((w, k, *c) for (w, k), c in counts.items()), (("word", w, c, 0) for w, c in clean.items() if w), (("begin", u, c, 0) for u, c in begins.items()))
+            while some := list(islice(rows, 5 * TEXTS)):
+                yield table(len(some), **{name: [r[i] for r in some] for i, name in enumerate(("kind", "k", "cnt", "ended"))})
             counts.clear(), words.clear(), begins.clear()
-            return table(len(rows), kind=[r[0] for r in rows], k=[r[1] for r in rows], cnt=[r[2] for r in rows], ended=[r[3] for r in rows])
 
-        for batch in batches:
+        for batch in _pieces(batches):
             originals = batch.column("t").to_pylist()
             parts = [grammar.parts(t) for t in originals]
             clean = [without(t, x) for t, x in zip(originals, parts)]
@@ -259,9 +274,9 @@ def prepared(texts: DataFrame, text: str, source: str, grammar: Grammar) -> Data
             named = {c: [x[i] or None for x in closers] for i, c in enumerate(("closers", "cuts", "before"))}
             yield table(len(clean), kind=["text"] * len(clean), **{c: batch.column(c) for c in ("n", "h")}, parts=[[at for s, e, _ in x for at in (s, e)] or None for x in parts], bands=[x and x[0] for x in found], own=[x[1] if c[0] else None for x, c in zip(found, closers)], **named, **ends)
             if len(counts) + len(words) + len(begins) > FLUSH:
-                yield flush()
+                yield from flush()
         if counts or words:
-            yield flush()
+            yield from flush()
 
     stored = _stored(texts, text, F.coalesce(source, F.lit("")).alias("source"))
     return stored.groupBy("n", "h").agg(F.first("t").alias("t"), F.size(F.collect_set("source")).alias("sources")).mapInArrow(run, schema)
@@ -283,13 +298,18 @@ def _aligned(a: list[str], b: list[str]) -> tuple[int, int, int]:
             continue
         if i - same > allowed:
             break
-        for d in range(1, 2 * AHEAD):
-            step = next((x for x in range(max(0, d - AHEAD), min(d, AHEAD) + 1) if a[i + x:i + x + 2] == b[j + d - x:j + d - x + 2] and i + x + 1 < len(a)), None)
-            if step is not None:
-                i, j = i + step, j + d - step
+        near: dict[tuple[str, str], int] = {}
+        for y, two in enumerate(pairwise(b[j:j + AHEAD + 2])):
+            near.setdefault(two, y)
+        best, step = 2 * AHEAD, None
+        for x, two in enumerate(pairwise(a[i:i + AHEAD + 2])):
+            if x >= best:
                 break
-        else:
+            if (y := near.get(two)) is not None and x + y < best:
+                best, step = x + y, (x, y)
+        if step is None:
             break
+        i, j = i + step[0], j + step[1]
     return same, end_a, end_b
 
 
@@ -356,31 +376,42 @@ def _closers(text: str, known: dict[str, int]) -> tuple[list[int], list[str | No
 
 
 class Sketch:
-    """Which remainders any of the hashes has, as a bitmap."""
+    """Which remainders any of the hashes has, as a bitmap; a second remainder is that of its upper bits."""
 
     def __init__(self, bitmap: np.ndarray):
         self.bitmap, self.mask = bitmap, 8 * len(bitmap) - 1
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        at = hashes & self.mask
-        return (self.bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+        first, second = hashes & self.mask, hashes >> 27 & self.mask
+        out = (self.bitmap[first >> 3] >> (first & 7).astype(np.uint8) & 1).astype(bool)
+        return out & (self.bitmap[second >> 3] >> (second & 7).astype(np.uint8) & 1).astype(bool)
 
 
 def _sketch(hashes: DataFrame, size: int) -> Sketch:
-    """The sketch of the column x, of `size` rows. Combined in the JVM; at most MOST_BITS reach the driver, for any number of hashes."""
+    """The sketch of the column x, of `size` rows. Combined in the JVM, each part of the bitmap by one task; at most MOST_BITS reach the driver, for any number of hashes."""
     bits = min(MOST_BITS, max(LEAST_BITS, 1 << (SPARE * size).bit_length()))
     at = F.pmod("x", F.lit(bits)) + 1
-    rows = hashes.groupBy(F.bitmap_bucket_number(at).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).toLocalIterator()
+    hashes = hashes.select(F.explode(F.array("x", F.shiftright("x", 27))).alias("x"))
+    rows = hashes.select(F.bitmap_bucket_number(at).cast("int").alias("b"), F.bitmap_bit_position(at).cast("int").alias("at")).repartition("b").groupBy("b").agg(F.bitmap_construct_agg(F.col("at").cast("bigint")).alias("bits"))
     out = np.zeros(bits // 8, dtype=np.uint8)
-    for r in rows:
+    for r in rows.collect():
         out[(r.b - 1) * 4096:r.b * 4096] = np.frombuffer(bytes(r.bits), dtype=np.uint8)
     return Sketch(out)
 
 
+def _met(batches: Iterator[pa.RecordBatch], sketch: Sketch) -> Iterator[pa.RecordBatch]:
+    """n, h, k: each of the bands that the sketch doesn't rule out, a row."""
+    for batch in batches:
+        ks = batch.column("bands").flatten()
+        held = pa.array(np.flatnonzero(sketch.has(ks.to_numpy(zero_copy_only=False))), pa.int64())
+        at = pc.list_parent_indices(batch.column("bands")).take(held)
+        yield pa.RecordBatch.from_arrays([batch.column("n").take(at), batch.column("h").take(at), ks.take(held)], ["n", "h", "k"])
+
+
 def _goings_on(batches: Iterator[pa.RecordBatch], sketch: Sketch) -> Iterator[pa.RecordBatch]:
     """x, n, h, next, before: where a text t goes on behind two words that may close an open text of one of its buckets ks (x: both, as one hash)."""
     known: dict[str, int] = {}
-    for batch in batches:
+    for batch in _pieces(batches):
         at, xs, nexts, befores = [], [], [], []
         for i, (t, parts, ks) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("t", "parts", "ks")))):
             words = _spaced(without_mark(_without(t, parts)))
@@ -422,9 +453,10 @@ def candidates(ready: DataFrame, texts: DataFrame, text: str) -> DataFrame:
     are word for word alike up to there, and that go on with the same word, one is
     enough, as `ends_early` reads no further in them.
     """
-    rows = ready.where("bands is not null").select("n", "h", F.explode("bands").alias("k"))
     own = written(ready.where("own is not null").select("n", "h", F.explode("own").alias("k"), "closers", "cuts", "before"), "looked-up")
     looked = own.groupBy("k").agg(F.min("n").alias("least"), (F.count(F.lit(1)) > HOT).alias("hot"))
+    opened = _sketch(own.select(F.col("k").alias("x")), own.count())
+    rows = ready.where("bands is not null").select("n", "h", "bands").mapInArrow(lambda batches: _met(batches, opened), "n int, h bigint, k bigint")
     member = rows.join(looked, "k").where("hot and n > least").groupBy("n", "h").agg(F.collect_list("k").alias("ks"))  # a text has few buckets
     member = written(member.join(ready.where("parts is not null").select("n", "h", "parts"), ["n", "h"], "left"), "met")
     ends = own.select("n", "h", "k", F.explode(F.arrays_zip("closers", "cuts", "before")).alias("c"))
@@ -433,7 +465,8 @@ def candidates(ready: DataFrame, texts: DataFrame, text: str) -> DataFrame:
     sketch = _sketch(ends.select("x").unionByName(ends.select(F.col("key").alias("x"))), 2 * ends.count())
     stored = _stored(texts, text).join(sized(member), ["n", "h"]).groupBy("n", "h").agg(F.min("t").alias("t"), F.first("parts").alias("parts"), F.first("ks").alias("ks"))
     on = stored.mapInArrow(lambda batches: _goings_on(batches, sketch), "x bigint, n int, h bigint, next string, before bigint")
-    met = ends.drop("k", "key").join(on, "x").where((F.col("n1") < F.col("n")) & (F.col("cut").isNull() | (F.col("next").startswith(F.col("cut")) & (F.length("next") > F.length("cut")))))
+    # What is joined to, of which a task holds a key's rows, are the open texts: fewer than those that go on.
+    met = on.join(ends.drop("k", "key"), "x").where((F.col("n1") < F.col("n")) & (F.col("cut").isNull() | (F.col("next").startswith(F.col("cut")) & (F.length("next") > F.length("cut")))))
     # All pairs that are alike word for word have one verdict (by next word); the others each have their own.
     alike = F.col("before") == F.col("before1")
     each = met.groupBy("n1", "h1", F.when(alike, F.coalesce("next", F.lit(""))).alias("next"), F.when(~alike, F.struct("n", "h")).alias("other")).agg(F.max(F.struct("n", "h")).alias("x"))

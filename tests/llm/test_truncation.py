@@ -157,3 +157,20 @@ def test_what_several_sources_say_alone_is_whole(spark):
     found_in = lambda sources: found(spark, [*longer, *[(whole, s) for s in sources], (f"It was slow before.\n{whole}", "a"), ("It was slow before.\n" + longer[1][0], "b")], [])
     assert found_in("bc") == {10_002: "copy", 10_003: "copy", 10_004: "copy"}
     assert found_in("bcd") == {}
+
+
+def test_a_task_holds_few_texts_at_once():
+    """However many and long the texts of a batch are; none is lost and their order stays."""
+    texts = ["x" * n for n in [10] * 5000 + [T.CHARACTERS // 3] * 8 + [3 * T.CHARACTERS, 0, 1]] + [None]
+    batch = T.pa.RecordBatch.from_arrays([T.pa.array(range(len(texts))), T.pa.array(texts)], ["i", "t"])
+    pieces = list(T._pieces([batch, batch.slice(0, 0), batch.slice(4990, 15)]))
+    assert [i for p in pieces for i in p.column("i").to_pylist()] == [*range(len(texts)), *range(4990, 5005)]
+    assert all(p.num_rows <= T.TEXTS and (p.num_rows == 1 or sum(len(t or "") for t in p.column("t").to_pylist()) <= T.CHARACTERS) for p in pieces)
+
+
+def test_the_sketch_grows_with_what_it_holds(spark):
+    df = spark.range(40_000).select(F.xxhash64("id").alias("x"))
+    sketch = T._sketch(df, 40_000)
+    held = T.np.array([r.x for r in df.collect()])
+    assert sketch.has(held).all() and sketch.has(~held).mean() < 0.05
+    assert 8 * len(sketch.bitmap) >= T.SPARE * 40_000 and T.MOST_BITS <= 8 * (16 << 20)
