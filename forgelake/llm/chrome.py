@@ -46,13 +46,16 @@ LONGEST, SHORT, SHORT_WORDS = 120, 48, 8
 
 _STRONG = r"[ \t]*[·|›—•‹»][ \t]*|[ \t]{2,}"
 _NODE_CUT = re.compile(rf"(?:{_STRONG}|[ \t]*\r?\n[ \t]*)+")
+#: The same cuts where there is no carriage return (a run of separators that isn't one blank), and what any of them holds; both are cheap to look for.
+_PLAIN_CUT = re.compile(r"[ \t\n·|›—•‹»](?:(?<![ \t])|[ \t\n·|›—•‹»])[ \t\n·|›—•‹»]*")
+_STRONG_MARK = re.compile(r"[·|›—•‹»]")
 _TITLE_CUT = re.compile(rf"(?:{_STRONG}|[ \t]+[-/][ \t]+|[ \t]*\n[ \t]*)+")
 _SEP = re.compile(r"(?:[ \t]*[·|›—•‹»][ \t]*|[ \t]+[-/][ \t]+|[ \t]+|[ \t]*\r?\n\s*)*")
 _NUMBER = re.compile(r"\(?0\)?(?![a-z.])")
 _BETWEEN = re.compile(r"[^\s.!?`]{1,40}(?:[ ][^\s.!?`]{1,20}){0,2}?(?=[ \t·|›—•‹»\r\n])")
 _NODES_BETWEEN = re.compile(rf"[^\n.!?`]{{1,60}}?(?:(?:{_STRONG}|[ \t]*\n[ \t]*)[^\n.!?`]{{1,60}}?){{0,3}}?(?={_STRONG}|[ \t]*\n)")
 _WORDS_BETWEEN = re.compile(r"[^\n.!?`]{1,110}?(?=[ ])")
-_NUMBERS = re.compile(r"\d+(?:[.,:]\d+)*")
+_NUMBERS = re.compile(r"\d\d*(?:[.,:]\d+)*")  # a digit in front, which is quicker to look for than a run
 _COUNT = re.compile(r"[ \t]*\(?0\)?$")
 _LIST = re.compile(r"(?:[-*+]|\d+[.)])\s|>")
 
@@ -60,12 +63,26 @@ _LIST = re.compile(r"(?:[-*+]|\d+[.)])\s|>")
 def item_text(node: str, title: bool = False) -> str:
     """A node as an item: digits are one 0; a count behind it is left out, but not in titles, where it is a number of something."""
     t = _NUMBERS.sub("0", node.strip(" \t\r\n·|›—•‹»"))
-    return t if title else _COUNT.sub("", t) or t
+    return t if title or t[-1:] not in ("0", ")") else _COUNT.sub("", t) or t
+
+
+def _one_node(text: str) -> bool:
+    """Whether a text, no title, has nothing that `_NODE_CUT` cuts at."""
+    return not ("\n" in text or "  " in text or "\t" in text or ("|" in text if text.isascii() else _STRONG_MARK.search(text)))
+
+
+def _kind(t: str) -> str:
+    if _LIST.match(t):
+        return "li"
+    return "short" if len(t) <= SHORT and len(t.split()) <= SHORT_WORDS and t[-1] not in ".!?:;,`" and "`" not in t else "p"
 
 
 def layout(text: str, title: bool = False) -> list[tuple[int, int, str]]:
     """start, end and path of the nodes of a text without tags, by its lines, separators and neighbours alone."""
-    cuts, at, spans = (_TITLE_CUT if title else _NODE_CUT), 0, []
+    if not title and _one_node(text):
+        kind = "pre" if "```" in text else _kind(text) if text.strip() else None
+        return [(0, len(text), "whole/lone" if kind == "short" else f"main/{kind}")] if kind else []
+    cuts, at, spans = (_TITLE_CUT if title else _NODE_CUT if "\r" in text else _PLAIN_CUT), 0, []
     for m in cuts.finditer(text):
         spans.append((at, m.start()))
         at = m.end()
@@ -81,10 +98,8 @@ def layout(text: str, title: bool = False) -> list[tuple[int, int, str]]:
             kinds.append("pre")
         elif fenced:
             kinds.append("pre")
-        elif _LIST.match(t):
-            kinds.append("li")
         else:
-            kinds.append("short" if len(t) <= SHORT and len(t.split()) <= SHORT_WORDS and t[-1] not in ".!?:;,`" and "`" not in t else "p")
+            kinds.append(_kind(t))
     out, i, last = [], 0, len(spans) - 1
     while i <= last:
         j = i
@@ -219,18 +234,15 @@ class Grammar:
         """start, end and path of the nodes of page text, in order: at the start, at the end, and blocks within."""
         if not self.items:
             return []
-        text, shifts = original, []
-        if any(c.isdigit() for c in original):
-            out, at, lost = [], 0, 0
-            for m in _NUMBERS.finditer(original):
-                out += [original[at:m.start()], "0"]
-                lost += m.end() - m.start() - 1
-                shifts.append((m.start() + 1 - (lost - (m.end() - m.start() - 1)), lost))
-                at = m.end()
-            text = "".join([*out, original[at:]])
+        text = _NUMBERS.sub("0", original)
         found, glued = self._found(text)
-        if not found:
+        # No run reaches a weight of 2 where all items together don't; in titles, where they stand adds to it.
+        if not found or (not self.title and sum(self.items[text[s:e]] for places in (found, glued) for s, e in places.items()) < 2):
             return []
+        shifts: list[tuple[int, int]] = []
+        lost = 0
+        for m in _NUMBERS.finditer(original):
+            shifts.append((m.start() + 1 - lost, lost := lost + m.end() - m.start() - 1))
         size = len(text.rstrip())
         first = len(text) - len(text.lstrip(" \t\r\n·|›—•‹»"))
         end, head_weight, head = self._run(text, first, found, glued) if first in found else (first, 0.0, [])
@@ -318,7 +330,12 @@ def nodes_of(text: str, title: bool = False) -> list[tuple[str, str]]:
     return [(p, text[s:e]) for s, e, p in layout(text, title)]
 
 
-_PUNCT = re.compile(r"[.,;:!?…、。`()\"']")
+_PUNCT = ".,;:!?…、。`()\"'"
+
+
+def _marks(node: str) -> int:
+    """How many characters of a node are punctuation."""
+    return sum(map(node.count, _PUNCT))
 
 
 def item_of(path: str, node: str, title: bool) -> str | None:
@@ -328,6 +345,8 @@ def item_of(path: str, node: str, title: bool) -> str | None:
 def with_neighbours(nodes: list[tuple[str, str]], title: bool) -> list[tuple[tuple[str, str], str | None]]:
     """Each node with an item of its part of a page, null if it stands alone: the next one, and for the first and the last one each other."""
     part = [p.partition("/")[0] if p not in ("main/p", "main/li", "main/pre", "title/main") and not p.startswith("tags/") else None for p, _ in nodes]
+    if len(nodes) == 1:
+        return [(nodes[0], None)]
     out, i = [], 0
     while i < len(nodes):
         j = i
@@ -362,7 +381,7 @@ def node_counts(texts: DataFrame, text: str, is_title: str) -> DataFrame:
                     continue
                 for (path, node), beside in with_neighbours(nodes_of(t, bool(title)), bool(title)):
                     item = item_of(path, node, bool(title))
-                    n, marks = len(node), len(_PUNCT.findall(node))
+                    n, marks = len(node), _marks(node)
                     s = sums.get((path, title, item, beside))
                     if s is None:
                         s = sums[path, title, item, beside] = [0, 0.0, 0.0, 0.0, 0.0]

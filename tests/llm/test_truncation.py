@@ -174,3 +174,26 @@ def test_the_sketch_grows_with_what_it_holds(spark):
     held = T.np.array([r.x for r in df.collect()])
     assert sketch.has(held).all() and sketch.has(~held).mean() < 0.05
     assert 8 * len(sketch.bitmap) >= T.SPARE * 40_000 and T.MOST_BITS <= 8 * (16 << 20)
+
+
+def test_texts_are_read_three_times(spark):
+    """For page text, for their lengths and hashes, and to be prepared; pairs are read where they were prepared."""
+    df = spark.createDataFrame([(i, t, "a") for i, t in enumerate([*corpus()[:300], "the loader keeps the last row of each page in", "the loader keeps the last row of each page in memory now."])], "id bigint, text string, source string")
+    df.write.mode("overwrite").parquet(folder := spark.conf.get("spark.sql.warehouse.dir") + "/read")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.read.parquet(folder).mapInArrow(counted, "id bigint, text string, source string")
+    assert T.truncated(rows, "id", "text", "source").where("reason = 'copy'").count() == 1
+    assert 0 < read.value <= 3 * 302
+
+
+def test_closers_of_many_texts_are_those_of_each():
+    texts = ["one two three four fi", "too short", "a b c d e f, g (cut)", "it stops here: one two three.", "x " * 5000 + "end_", "one two three four fi"]
+    known = T.Words()
+    each = [T._closers([t], known)[0] for t in texts]
+    assert T._closers(texts, known) == each and [len(c[0]) for c in each] == [2, 0, 2, 0, 2, 2] and each[0] == each[5]
