@@ -61,7 +61,7 @@ _CODE = re.compile(r"```|`[^`\n]*`")
 _URL, _MAIL = re.compile(r"\S*://\S+"), re.compile(r"\S+@\S+")
 _NUMBER = re.compile(r"\b[a-f]{0,39}[0-9][0-9a-f]*\b|[0-9]+")
 _DIGITS = str.maketrans("", "", "0123456789")
-_LONG_NUMBER = re.compile("[0-9a-f]" * 7)
+_LONG_NUMBER = re.compile("[0-9a-f]" * 7 + "[0-9a-f]*")
 _EDGE = re.compile(r"^[^\w~]+|[^\w~]+$")
 
 #: Counters of a task are passed on when they hold so many keys, so many in a batch. Texts, and their characters, that a task works on at once; different words, and units, that it keeps; characters of texts whose units it keeps.
@@ -72,6 +72,13 @@ def _number(m: re.Match) -> str:
     return "~h" if 7 <= len(m[0]) <= 40 else m[0].translate(_DIGITS)
 
 
+def _long_number(m: re.Match) -> str:
+    """What `_NUMBER` makes of a run of hexadecimal digits, as far as more than its digits go."""
+    if any(c.isalnum() or c == "_" for c in (m.string[max(0, m.start() - 1):m.start()], m.string[m.end():m.end() + 1])):
+        return re.sub("[0-9]+", _number, m[0])
+    return _NUMBER.sub(_number, m[0])
+
+
 def _normal(text: str) -> str:
     if "`" in text:
         text = _CODE.sub(lambda m: m[0] if m[0] == "```" else "~c", text)
@@ -79,11 +86,14 @@ def _normal(text: str) -> str:
         text = _URL.sub("~u", text)
     if "@" in text:
         text = _MAIL.sub("~m", text)
-    bare = text
+    # `_NUMBER.sub(_number, text)`, but only runs that are long enough for an id are looked at one by one.
+    if not any(map(text.__contains__, "0123456789")):
+        return text
+    text = _LONG_NUMBER.sub(_long_number, text)
     for digit in "0123456789":
-        if digit in bare:
-            bare = bare.replace(digit, "")
-    return _NUMBER.sub(_number, text) if len(bare) < len(text) and _LONG_NUMBER.search(text) else bare
+        if digit in text:
+            text = text.replace(digit, "")
+    return text
 
 
 def without_mark(text: str) -> str:
@@ -242,14 +252,14 @@ def prepared(texts: DataFrame, text: str, source: str, grammar: Grammar) -> Data
     """One pass over the different texts that aren't blank (copies count once); two kinds of rows.
 
     kind `text`: n (length), h (hash), t, parts (starts and ends of page text), bands (of the main text;
-    page text around it is no end) and, where the closing isn't a full stop,
+    page text around it is no end; as the bytes of their numbers) and, where the closing isn't a full stop,
     own (the bands that it is looked up by), closers, cuts and before (`_closers`), unit, open1, open2, last; alone if its main text is one short unit and it is in LIMIT_TEXTS sources; marked and code for marks and open code.
     Other kinds are counts, combined per task: k, cnt, ended of openings (`1`,
     `2`: words), `last` words, `unit`s without a full stop (ended: texts times sources), `word`s, and
     `begin`s, the first LINE + 1 characters of units of three words or more.
     """
-    schema = "kind string, n int, h bigint, t string, parts array<int>, bands array<bigint>, own array<bigint>, closers array<bigint>, cuts array<string>, before array<bigint>, unit string, open1 string, open2 string, last string, alone boolean, marked boolean, code boolean, k string, cnt bigint, ended bigint"
-    types = {"string": pa.string(), "boolean": pa.bool_(), "int": pa.int32(), "bigint": pa.int64(), "array<bigint>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string())}
+    schema = "kind string, n int, h bigint, t string, parts array<int>, bands binary, own array<bigint>, closers array<bigint>, cuts array<string>, before array<bigint>, unit string, open1 string, open2 string, last string, alone boolean, marked boolean, code boolean, k string, cnt bigint, ended bigint"
+    types = {"string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(), "int": pa.int32(), "bigint": pa.int64(), "array<bigint>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string())}
     fields = [x.split(" ") for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,8 +339,10 @@ def prepared(texts: DataFrame, text: str, source: str, grammar: Grammar) -> Data
                 closers[i] = x
             named = {c: [x[i] or None for x in closers] for i, c in enumerate(("closers", "cuts", "before"))}
             open_ = np.array([bool(closers[i][0]) for i in has.tolist()], dtype=bool)
-            listed = _lists(len(clean), has, bands, np.arange(bands.shape[1]) < levels[:, None]), _lists(len(clean), has[open_], bands[open_], own[open_])
-            yield table(len(clean), kind=["text"] * len(clean), **{c: batch.column(c) for c in ("n", "h", "t")}, parts=[[at for s, e, _ in x for at in (s, e)] or None for x in parts], bands=listed[0], own=listed[1], **named, **ends)
+            packed: list[bytes | None] = [None] * len(clean)
+            for i, row, n in zip(has.tolist(), bands, levels.tolist()):
+                packed[i] = row[:n].tobytes()
+            yield table(len(clean), kind=["text"] * len(clean), **{c: batch.column(c) for c in ("n", "h", "t")}, parts=[[at for s, e, _ in x for at in (s, e)] or None for x in parts], bands=packed, own=_lists(len(clean), has[open_], bands[open_], own[open_]), **named, **ends)
             kept += sum(map(len, clean))
             if len(units_of) > KNOWN or kept > UNITS:
                 count()
@@ -501,6 +513,19 @@ def _sketch(hashes: DataFrame, size: int) -> Sketch:
     return Sketch(out)
 
 
+def _unpacked(bands: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bands of all texts of a batch, and the row of each."""
+    packed = bands.to_pylist()
+    return np.frombuffer(b"".join(packed), np.int64), np.repeat(np.arange(len(packed)), [len(x) // 8 for x in packed])
+
+
+def _looked_into(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """n, h, k: each band a row."""
+    for batch in batches:
+        ks, of = _unpacked(batch.column("bands"))
+        yield pa.RecordBatch.from_arrays([batch.column("n").take(pa.array(of)), batch.column("h").take(pa.array(of)), pa.array(ks)], ["n", "h", "k"])
+
+
 def _goings_on(batches: Iterator[pa.RecordBatch], sketch: Sketch) -> Iterator[pa.RecordBatch]:
     """x, n, h, next, before: where a text t goes on behind two words that may close an open text of one of its buckets (x: both, as one hash).
 
@@ -508,10 +533,9 @@ def _goings_on(batches: Iterator[pa.RecordBatch], sketch: Sketch) -> Iterator[pa
     """
     forms = Forms()
     for batch in _pieces(batches):
-        lists = batch.column("bands")
-        ks = lists.flatten().to_numpy(zero_copy_only=False)
+        ks, of = _unpacked(batch.column("bands"))
         held = np.flatnonzero(sketch.has(ks))
-        ks, of = ks[held], pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)[held]
+        ks, of = ks[held], of[held]
         words, rows, sizes = [], [], []
         looked = np.unique(of)
         for i, t, parts in zip(looked.tolist(), *(batch.column(c).take(pa.array(looked)).to_pylist() for c in ("t", "parts"))):
@@ -582,7 +606,7 @@ def candidates(ready: DataFrame) -> DataFrame:
     pairs = each.select("n1", "h1", F.col("x.n").alias("n2"), F.col("x.h").alias("h2"))
     if HOT:
         few = own.where("not hot").select("k", F.col("n").alias("n1"), F.col("h").alias("h1"))
-        rows = longer.select("n", "h", F.explode("bands").alias("k"))
+        rows = longer.select("n", "h", "bands").mapInArrow(_looked_into, "n int, h bigint, k bigint")
         pairs = pairs.unionByName(few.join(rows, "k").where("n1 < n").select("n1", "h1", F.col("n").alias("n2"), F.col("h").alias("h2")))
     return pairs.distinct()
 

@@ -197,3 +197,10 @@ def test_closers_of_many_texts_are_those_of_each():
     known = T.Words()
     each = [T._closers([t], known)[0] for t in texts]
     assert T._closers(texts, known) == each and [len(c[0]) for c in each] == [2, 0, 2, 0, 2, 2] and each[0] == each[5]
+
+
+def test_long_numbers_alone_are_read_as_all_numbers_are():
+    rng = random.Random(6)
+    for _ in range(5000):
+        text = "".join(rng.choice(["a", "b1", "7", "1234567", "deadbee", "f" * 38, "g", "_", "é", " ", "-", "Z", "0" * 39]) for _ in range(rng.randrange(1, 12)))
+        assert T._normal(text) == T._NUMBER.sub(T._number, text)
